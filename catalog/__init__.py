@@ -3,7 +3,7 @@
 import importlib
 
 # in the order the README lists them
-MODULES = ("market",)
+MODULES = ("market", "strategy", "portfolio")
 
 
 def load():

@@ -22,6 +22,9 @@ def duck(sf_dir: str):
     return con
 
 
+CLOCK = {}
+
+
 def cell(v):
     if v is None:
         return None
@@ -43,6 +46,7 @@ def compare(spark_df, con, sql):
     """Returns (spark rows, check rows, differing rows, a few examples)."""
     got_names = spark_df.columns
     got = rows_of(got_names, [tuple(r) for r in spark_df.collect()])
+    CLOCK["spark"] = time.time()
     result = con.execute(sql)
     want_names = [d[0] for d in result.description]
     want = rows_of(want_names, result.fetchall())
@@ -80,7 +84,7 @@ def main(argv):
                 state = "ok" if diff == 0 and n == m else "DIFF"
                 if state != "ok":
                     bad += 1
-                print(f"{state:5} {name:32} {n:>8} {m:>8} {diff:>7} {time.time() - t:6.1f}s", flush=True)
+                print(f"{state:5} {name:32} {n:>8} {m:>8} {diff:>7} {CLOCK['spark'] - t:6.1f}s {time.time() - CLOCK['spark']:6.1f}s", flush=True)
                 if state != "ok":
                     for e in examples:
                         print("      ", str(e)[:400], flush=True)
