@@ -169,6 +169,9 @@ def running(
         .agg(*[_whole(s.kind, s.value, order).alias(f"_s_{n}") for n, s in scans.items()])
         .select(*keys, "_chunk", *[_over(s.kind, F.col(f"_s_{n}"), earlier).alias(f"_c_{n}") for n, s in scans.items()])
     )
+    # summing sums widens a decimal until Spark drops digits, so the carried part keeps the type of the local one
+    types = {f.name: f.dataType for f in local.schema.fields}
+    carried = carried.withColumns({f"_c_{n}": F.col(f"_c_{n}").cast(types[f"_l_{n}"]) for n in scans})
     out = local.join(carried, [*keys, "_chunk"]).withColumns(
         {n: _joined(s.kind, F.col(f"_c_{n}"), F.col(f"_l_{n}")) for n, s in scans.items()}
     )
