@@ -165,3 +165,125 @@ fx_items as (
               else 'S' || lpad(cast((c_custkey * 7) % n as varchar), 6, '0') end as ticker,
          c_acctbal as allocation, c_custkey as position
   from customer, (select count(*) as n from supplier))"""
+
+
+def articles(spark: SparkSession, sf: str) -> DataFrame:
+    """One article per document: its first line as title, its whole text as snippet, addresses shared through the pages."""
+    docs, pages = table(spark, sf, "documents"), table(spark, sf, "pages")
+    n_pages = pages.agg(F.count(F.lit(1)).alias("n"))
+    heading = F.split_part("text", F.lit("\n"), F.lit(1))
+    kind = F.length(heading) % 7
+    suffix = (
+        F.when(kind == 0, " earnings").when(kind == 1, " merger").when(kind == 2, " dividend").when(kind == 3, " surges").otherwise("")
+    )
+    source = F.col("source")
+    return (
+        docs.withColumn("page_id", F.col("doc_id") % n_pages.scalar())
+        .join(pages.select("page_id", "url"), "page_id")
+        .select(
+            F.col("doc_id").alias("seq"),
+            F.when(F.col("doc_id") % 3 == 0, "specific").otherwise("general").alias("bucket"),
+            F.concat(heading, suffix).alias("title"),
+            "url",
+            F.when(source == "src0", "Reuters")
+            .when(source == "src1", "Bloomberg")
+            .when(source == "src2", "CNBC")
+            .when(source == "src3", "MarketWatch")
+            .otherwise(source)
+            .alias("source"),
+            F.col("text").alias("snippet"),
+            F.when(F.col("doc_id") % 4 == 0, None)
+            .when(F.col("doc_id") % 4 == 1, "https://www.google.com/s2/favicons?domain=x")
+            .otherwise(F.concat(F.lit("https://img.example.com/"), F.col("doc_id").cast("string"), F.lit(".jpg")))
+            .alias("image"),
+            F.when(F.col("doc_id") % 17 != 0, F.lit(AS_OF_EPOCH) - (F.col("doc_id") * 7919) % 259200).alias("published_ts"),
+        )
+    )
+
+
+ARTICLES = """
+fx_articles as materialized (
+  select doc_id as seq, case when doc_id % 3 = 0 then 'specific' else 'general' end as bucket,
+         title0 || case length(title0) % 7 when 0 then ' earnings' when 1 then ' merger' when 2 then ' dividend'
+                   when 3 then ' surges' else '' end as title, url,
+         case source when 'src0' then 'Reuters' when 'src1' then 'Bloomberg' when 'src2' then 'CNBC'
+                     when 'src3' then 'MarketWatch' else source end as source,
+         text as snippet,
+         case doc_id % 4 when 0 then null when 1 then 'https://www.google.com/s2/favicons?domain=x'
+              else 'https://img.example.com/' || cast(doc_id as varchar) || '.jpg' end as image,
+         case when doc_id % 17 = 0 then null else 1706659200 - (doc_id * 7919) % 259200 end as published_ts
+  from (select d.*, split_part(d.text, chr(10), 1) as title0, p.url
+        from documents d, (select count(*) as n from pages) k, pages p where p.page_id = d.doc_id % k.n))"""
+
+SCORED = (
+    ARTICLES
+    + """,
+scored as materialized (
+  select *, round(0.55 * case when published_ts is null then 0.2
+                    else greatest(0, 1 - least(greatest(0, (1706659200 - published_ts) / 3600.0::double) / 48.0::double, 1.0)) end
+         + 0.30 * case source when 'Reuters' then 1.0 when 'Bloomberg' then 0.95 when 'CNBC' then 0.8 when 'MarketWatch' then 0.6 else 0.5 end::double
+         + 0.15 * greatest(
+             case when regexp_matches(title, '(?i)\\b(surges?|plunges?|spikes?|tumbles?)\\b') then 0.6 else 0 end,
+             case when regexp_matches(title, '(?i)\\b(earnings|EPS|guidance|outlook|downgrade|upgrade)\\b') then 0.5 else 0 end,
+             case when regexp_matches(title, '(?i)\\b(M&A|acquisition|merger|spin[- ]off)\\b') then 0.4 else 0 end,
+             case when regexp_matches(title, '(?i)\\b(SEC filing|lawsuit|investigation)\\b') then 0.4 else 0 end,
+             case when regexp_matches(title, '(?i)\\b(dividend|buyback|split)\\b') then 0.3 else 0 end)::double, 4) as score,
+         md5(trim(regexp_replace(regexp_replace(lower(coalesce(title, '')), '[^a-z0-9 ]+', '', 'g'), ' +', ' ', 'g'))) as title_key,
+         regexp_replace(url, '[?#].*$', '') as norm_url,
+         image is not null and not contains(image, 'google.com/s2/favicons') and not contains(image, 'gstatic') as has_image
+  from fx_articles)"""
+)
+
+
+def daily_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """A summary of each day on which errors were fewer than views."""
+    kind = F.col("event_type")
+    return (
+        table(spark, sf, "events")
+        .groupBy(F.to_date("ts").alias("day"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum((kind == "error").cast("int")).alias("errors"),
+            F.sum((kind == "view").cast("int")).alias("views"),
+        )
+        .filter("errors < views")
+        .select(
+            "day",
+            F.concat(F.lit("events "), F.col("n").cast("string")).alias("summary"),
+            F.when(F.col("n") % 3 != 0, F.round((F.col("n") % 100) / 100.0 - 0.5, 2).cast("double")).alias("sentiment_score"),
+        )
+    )
+
+
+DAILY_SUMMARY = """
+fx_summary as (
+  select day, 'events ' || cast(n as varchar) as summary,
+         case when n % 3 <> 0 then cast(round((n % 100) / 100.0 - 0.5, 2) as double) end as sentiment_score
+  from (select cast(ts as date) as day, count(*) as n, sum((event_type = 'error')::int) as errors,
+               sum((event_type = 'view')::int) as views from events group by 1) where errors < views)"""
+
+
+def content(spark: SparkSession, sf: str) -> DataFrame:
+    d = F.col("doc_id")
+    base = F.lit("2024-01-01").cast("timestamp_ntz")
+    return table(spark, sf, "documents").select(
+        d.alias("id"),
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
+        F.when(d % 6 != 0, F.col("text")).alias("excerpt"),
+        F.when(d % 3 != 0, F.concat(F.lit("S"), F.lpad((d % 10).cast("string"), 6, "0"))).alias("ticker"),
+        F.when(d % 4 == 0, "ai,macro").when(d % 4 == 1, "macd").when(d % 4 == 2, "rsi,  macro, ").alias("tags_csv"),
+        F.when(d % 5 == 0, "news").when(d % 5 == 1, "analysis").when(d % 5 == 2, "education").otherwise("opinion").alias("content_type"),
+        F.when(d % 8 != 0, base + F.make_dt_interval(mins=(d * 7).cast("int"))).alias("published_at"),
+        (base + F.make_dt_interval(mins=(d * 3).cast("int"))).alias("created_at"),
+    )
+
+
+CONTENT = """
+fx_content as materialized (
+  select doc_id as id, split_part(text, chr(10), 1) as title, case when doc_id % 6 <> 0 then text end as excerpt,
+         case when doc_id % 3 <> 0 then 'S' || lpad(cast(doc_id % 10 as varchar), 6, '0') end as ticker,
+         case doc_id % 4 when 0 then 'ai,macro' when 1 then 'macd' when 2 then 'rsi,  macro, ' end as tags_csv,
+         case doc_id % 5 when 0 then 'news' when 1 then 'analysis' when 2 then 'education' else 'opinion' end as content_type,
+         case when doc_id % 8 <> 0 then timestamp '2024-01-01' + to_minutes(doc_id * 7) end as published_at,
+         timestamp '2024-01-01' + to_minutes(doc_id * 3) as created_at
+  from documents)"""
