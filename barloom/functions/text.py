@@ -128,7 +128,7 @@ def squeeze_ends(c: Column) -> Column:
 
 def tags(csv: Column) -> Column:
     """Comma list to an array of trimmed, non-empty tags; null to an empty array."""
-    parts = F.transform(F.split(csv, ","), F.trim)
+    parts = F.transform(F.split(csv, ","), lambda t: F.trim(t))
     return F.coalesce(F.filter(parts, lambda t: t != ""), F.array().cast("array<string>"))
 
 

@@ -3,7 +3,7 @@
 import importlib
 
 # in the order the README lists them
-MODULES = ("market", "strategy", "portfolio", "news", "records")
+MODULES = ("market", "strategy", "portfolio", "news", "records", "streams")
 
 
 def load():

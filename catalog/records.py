@@ -112,7 +112,7 @@ select ticker, period_end, 'FY' as period_type, cast(cast(revenue as double) as
        cast(cast(net_income as double) as decimal(38, 2)) as net_income,
        case when year(period_end) % 2 = 0 then cast(cast(revenue as double) * 2 as decimal(38, 2)) end as total_assets,
        case when year(period_end) % 2 = 1 then cast(cast(cost_of_revenue as double) as decimal(38, 2)) end as total_liabilities,
-       cast(case when year(period_end) % 3 <> 0 then round_even(cast(cast(cost_of_revenue as double) * 0.1 as decimal(38, 10)), 2) end as decimal(38, 2)) as capital_expenditures
+       cast(case when year(period_end) % 3 <> 0 then round_even(cast(cast(cast(cost_of_revenue as double) * 0.1 as varchar) as decimal(18, 10)), 2) end as decimal(38, 2)) as capital_expenditures
 from fx_financials""")
 def financials_assemble(spark, sf):
     return statement_ops.assemble(statement_items(spark, sf)).select(
