@@ -109,7 +109,7 @@ def score(published_ts: Column, source: Column, title: Column, as_of: int | Colu
     for name, value in SOURCE_WEIGHTS.items():
         weight = F.when(source == name, value).otherwise(weight)
     hits = [F.when(F.regexp_like(title, F.lit(f"(?i){p}")), v).otherwise(0.0) for p, v in SIGNAL_WEIGHTS.items()]
-    return F.round(RECENCY_PART * recency + SOURCE_PART * weight + SIGNAL_PART * F.greatest(*hits), 4)
+    return F.bround(RECENCY_PART * recency + SOURCE_PART * weight + SIGNAL_PART * F.greatest(*hits), 4)
 
 
 def slug(given: Column, title: Column) -> Column:

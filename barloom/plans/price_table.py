@@ -35,6 +35,6 @@ def build(bars: DataFrame, start: date | None = None, digits: int | None = 4) ->
     return stored(incremental.backfill(bars, start), digits)
 
 
-def update(table: DataFrame, bars: DataFrame, as_of: date, lookback_days: int = 180) -> DataFrame:
+def update(table: DataFrame, bars: DataFrame, as_of: date, lookback_days: int = 180, digits: int | None = 4) -> DataFrame:
     """The table with each ticker's newest complete day recomputed."""
-    return upsert(table, stored(incremental.latest_bar(bars, as_of, lookback_days)), ["ticker", "date"])
+    return upsert(table, stored(incremental.latest_bar(bars, as_of, lookback_days), digits), ["ticker", "date"])

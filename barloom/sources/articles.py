@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from barloom.functions import dates, text
 from barloom.operators.dedupe import first_per_key, top_per_key
+from barloom.sources.tables import write_table
 
 # One line of a raw article file.
 ARTICLE_SCHEMA = T.StructType(
@@ -43,17 +44,10 @@ def read_articles(spark: SparkSession, path: str, dt: str | None = None) -> Data
     return out if dt is None else out.filter(F.col("dt") == F.lit(dt).cast("date"))
 
 
-def write_articles(df: DataFrame, path: str, shards: int = 32) -> None:
-    """Article lines under ``dt=YYYY-MM-DD``. A day is spread over up to ``shards`` files, so a day with very many articles is no single task."""
+def write_articles(df: DataFrame, path: str) -> None:
+    """Article lines under ``dt=YYYY-MM-DD``; only the days present are replaced."""
     known = [f.name for f in ARTICLE_SCHEMA.fields if f.name in df.columns]
-    (
-        df.select(*known)
-        .repartition("dt", F.pmod(F.xxhash64("article_id"), F.lit(shards)))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .json(path)
-    )
+    write_table(df.select(*known), path, by=["dt"], fmt="json")
 
 
 def read_feeds(spark: SparkSession, path: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.operators import merge
 from barloom.session import shared_folder
 
 
@@ -23,13 +24,18 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows gathered by ``by`` for writing; adaptive execution splits large groups over several tasks and joins small ones."""
+    return df.hint("rebalance", *by)
+
+
 def write_table(df: DataFrame, path: str, by: Sequence[str] = (), fmt: str = "parquet") -> None:
     """Overwrite a table. With ``by``, only the partitions present in ``df`` are replaced."""
     if not by:
         df.write.mode("overwrite").format(fmt).save(path)
         return
     (
-        df.repartition(*by, F.pmod(F.xxhash64(*df.columns), F.lit(32)))
+        spread(df, by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
@@ -42,6 +48,23 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def upsert_csv(
+    spark: SparkSession, changes: DataFrame, source: str | None, target: str, keys: Sequence[str], sort: Sequence[str] = (), order: str = "seq"
+) -> None:
+    """Merge changes into a CSV table, the last row of a key winning, and write it sorted descending to ``target``.
+
+    All columns are text, as in the file. ``source`` is the present table, or None for the first write.
+    """
+    values = [c for c in changes.columns if c != order]
+    texts = changes.select(*[F.col(c).cast("string").alias(c) for c in values], F.col(order))
+    if source is None:
+        merged = merge.upsert(texts.limit(0).drop(order), texts, keys, order=order)
+    else:
+        merged = merge.upsert(spark.read.option("header", True).csv(source), texts, keys, order=order)
+    present = [F.col(c).desc() for c in sort if c in merged.columns]
+    write_csv(merged.orderBy(*present) if present else merged, target)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.operators.dedupe import latest_per_key
-from barloom.sources.tables import stage
+from barloom.sources.tables import spread, stage
 
 
 def _bucket(keys: Sequence[str], buckets: int) -> Column:
@@ -32,7 +32,7 @@ def upsert_into(path: str, schema: T.StructType, keys: Sequence[str], buckets: i
         current = spark.read.schema(stored).parquet(path).join(touched, "bucket", "left_semi")
         merged = stage(latest_per_key(current.unionByName(changes), keys, order), "merged")
         (
-            merged.repartition("bucket")
+            spread(merged, ["bucket"])
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("bucket")

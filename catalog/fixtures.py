@@ -219,7 +219,7 @@ SCORED = (
     ARTICLES
     + """,
 scored as materialized (
-  select *, round(0.55 * case when published_ts is null then 0.2
+  select *, round_even(0.55 * case when published_ts is null then 0.2
                     else greatest(0, 1 - least(greatest(0, (1706659200 - published_ts) / 3600.0::double) / 48.0::double, 1.0)) end
          + 0.30 * case source when 'Reuters' then 1.0 when 'Bloomberg' then 0.95 when 'CNBC' then 0.8 when 'MarketWatch' then 0.6 else 0.5 end::double
          + 0.15 * greatest(

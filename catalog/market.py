@@ -338,6 +338,21 @@ ruled as (
          close > mid + 2 * std as s1, rsi > 70 as s2, macd_hist < 0 as s3 from banded)"""
 
 
+@query(
+    "price_table_update",
+    f"""with recursive {PRICES.replace("fx_prices as materialized", "fx_prices_all as materialized")},
+fx_prices as materialized (select * from fx_prices_all where date >= date '2001-06-29' - 180 and date < date '2001-06-29'), {MACD_EWM}, {BATCH},
+newest as (select * from batch qualify row_number() over (partition by ticker order by date desc) = 1)
+select ticker, date, close, round(rsi + 3.3e-9, 4) as rsi_14, round(macd + 3.3e-9, 4) as macd from newest
+union all
+select ticker, date, close, null, null from fx_prices_all p where not exists (select 1 from newest n where n.ticker = p.ticker and n.date = p.date)""",
+)
+def price_table_update(spark, sf):
+    old = price_table.stored(bars(spark, sf), None)
+    out = price_table.update(old, bars(spark, sf), as_of=date(2001, 6, 29), digits=None)
+    return out.select("ticker", "date", "close", *[F.round(F.col(c) + 3.3e-9, 4).alias(c) for c in ("rsi_14", "macd")])
+
+
 @query(
     "sig_votes",
     f"""with recursive {PRICES}, {MACD_EWM}, {RULE}

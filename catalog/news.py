@@ -393,6 +393,22 @@ def summary_fill(spark, sf):
     return news.fill_daily_summary(daily_summary(spark, sf), _days(spark))
 
 
+@query(
+    "summary_paragraphs",
+    """
+with t as (select doc_id, replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '…', '...') as x from documents),
+p as (
+  select doc_id, list_filter(list_transform(string_split(x, chr(10) || chr(10)), lambda q: regexp_replace(q, '^\\s+|\\s+$', '', 'g')), lambda q: q <> '') as parts,
+         string_split(regexp_replace(x, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)) as s from t),
+c as (
+  select doc_id, case when len(parts) >= 2 then parts[1:2]
+              else [array_to_string(s[1:greatest(1, len(s) // 2)], ' '), array_to_string(s[greatest(1, len(s) // 2) + 1:], ' ')] end as two from p)
+select doc_id, regexp_replace(two[1], '[ .]+$', '') || '.' as summary, regexp_replace(two[2], '[ .]+$', '') || '.' as outlook from c""",
+)
+def summary_paragraphs(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", text.two_paragraphs(F.col("text")).alias("p")).select("doc_id", "p.summary", "p.outlook")
+
+
 @query(
     "summary_labels",
     f"""with {DAILY_SUMMARY}

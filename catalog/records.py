@@ -399,6 +399,20 @@ def merge_watchlist_items(spark, sf):
     return merge.upsert(empty, items, ["watchlist_id", "ticker"], order="position")
 
 
+@query("merge_csv", f"""with {MERGE} select cast(k as varchar) as k, cast(amount as varchar) as amount from last""")
+def merge_csv(spark, sf):
+    from barloom.sources.prices import scratch
+    from barloom.sources.tables import upsert_csv
+
+    first, second = scratch(spark, "csv-first"), scratch(spark, "csv-second")
+    rows = changes(spark, sf).select("seq", "k", "amount")
+    middle = F.lit("2024-01-15").cast("timestamp_ntz")
+    early = rows.join(table(spark, sf, "events").filter(F.col("ts") < middle).select(F.col("event_id").alias("seq")), "seq", "left_semi")
+    upsert_csv(spark, early, None, first, ["k"])
+    upsert_csv(spark, rows, first, second, ["k"], sort=["k"])
+    return spark.read.option("header", True).csv(second)
+
+
 # ---------------------------------------------------------------- table rules
 
 
