@@ -48,7 +48,7 @@ class Placed:
         return self.with_df(self.df.withColumns(columns))
 
     def finish(self, *drop: str) -> DataFrame:
-        return self.df.filter("_own").drop("_blk", "_pos", "_own", *drop)
+        return self.df.filter("_own").drop("_blk", "_n", "_pos", "_own", *drop)
 
 
 def place(
@@ -61,7 +61,8 @@ def place(
 ) -> Placed:
     """Cut each series into blocks with ``lookback`` borrowed rows.
 
-    Adds ``_blk``, ``_pos`` (zero-based position in the whole series) and ``_own`` (false for borrowed rows).
+    Adds ``_blk``, ``_n`` (position in the block, from 1), ``_pos`` (position in the whole series, from 0) and ``_own`` (false for
+    borrowed rows).
     Costs one shuffle of the rows by (key, block). The placement table has one row per (key, chunk), so the
     planner may broadcast it when it is small, and joins it by shuffle when it is not.
     """
@@ -88,9 +89,13 @@ def place(
         ).alias("_blk"),
     )
     group = Window.partitionBy(*keys, "_blk")
+    # An outer join can only broadcast the placement table, never the rows. The explicit shuffle splits a key's blocks even where the
+    # rows arrive partitioned by key alone, which a window over (key, block) would otherwise accept.
     placed = (
-        tagged.join(homes, [*keys, "_chunk"])
-        .withColumn("_pos", F.min("_first").over(group) + F.row_number().over(group.orderBy(order)) - 1)
+        tagged.join(homes, [*keys, "_chunk"], "left")
+        .repartition(*keys, "_blk")
+        .withColumn("_n", F.row_number().over(group.orderBy(order)))
+        .withColumn("_pos", F.min("_first").over(group) + F.col("_n") - 1)
         .withColumn("_own", F.expr(f"_pos div {block_rows} = _blk"))
         .filter(F.col("_pos") < (F.col("_blk") + 1) * block_rows)
         .drop("_chunk", "_first")
@@ -172,7 +177,7 @@ def running(
     # summing sums widens a decimal until Spark drops digits, so the carried part keeps the type of the local one
     types = {f.name: f.dataType for f in local.schema.fields}
     carried = carried.withColumns({f"_c_{n}": F.col(f"_c_{n}").cast(types[f"_l_{n}"]) for n in scans})
-    out = local.join(carried, [*keys, "_chunk"]).withColumns(
+    out = local.join(carried, [*keys, "_chunk"], "left").withColumns(  # outer, so that the rows are never broadcast
         {n: _joined(s.kind, F.col(f"_c_{n}"), F.col(f"_l_{n}")) for n, s in scans.items()}
     )
     return out.drop("_chunk", *[f"_l_{n}" for n in scans], *[f"_c_{n}" for n in scans])

@@ -2,7 +2,7 @@
 
 An indicator is a recipe with a look-back; ``add`` applies any number of them in one pass, so all of them share
 the shuffle and sort of ``blocks.place``. Rolling indicators are window expressions. Exponential means are
-recursive, which no built-in expression offers, so they run as Arrow batches over bounded blocks.
+recursive, which no built-in expression offers, so they run over Arrow batches.
 """
 
 from __future__ import annotations
@@ -72,26 +72,52 @@ def add(
 
 
 def exponential(placed: Placed, means: list[Ewm], prior: list[tuple[str, tuple[str, ...], float]]) -> DataFrame:
-    """All exponential means in one pass of pandas over each bounded (key, block) group."""
+    """All exponential means in one pass over sorted Arrow batches.
+
+    Rows arrive sorted by (key, block, order), so a batch holds many short blocks or a part of a long one. Blocks within a batch are
+    smoothed together, and the block a batch breaks off in is continued with its last means, so memory is one batch whatever the size of a block.
+    """
     added = [m.name for m in means] + [n for n, _, _ in prior]
     schema = T.StructType(placed.df.schema.fields + [T.StructField(n, T.DoubleType()) for n in added])
 
-    def smooth(pdf):
-        pdf = pdf.sort_values("_pos")
-        for m in means:
-            source = pdf[m.source] if m.minus is None else pdf[m.source] - pdf[m.minus]
-            smoothed = source.ewm(alpha=m.alpha, adjust=False).mean()
-            if m.warmup:
-                smoothed = smoothed.where(pdf["_pos"] >= m.warmup)
-            pdf[m.name] = smoothed
-        for name, terms, default in prior:
-            values = pdf[terms[0]]
-            for term in terms[1:]:
-                values = values - pdf[term]
-            pdf[name] = values.shift(1).fillna(default)
-        return pdf
-
-    return placed.df.groupBy(*placed.keys, "_blk").applyInPandas(smooth, schema)
+    def smooth(batches):
+        import numpy as np
+        import pandas as pd
+
+        last = {}  # last mean, and last prior value, of the block the previous batch ended in
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            starts = pdf["_n"].to_numpy() == 1
+            block = starts.cumsum()
+            continued = not starts[0]
+            columns = {}
+
+            def column(name):
+                return columns[name] if name in columns else pdf[name].to_numpy(dtype=float)
+
+            raw = {}
+            for m in means:
+                source = column(m.source) if m.minus is None else column(m.source) - column(m.minus)
+                groups = block
+                if continued:  # the running mean stands in for all rows before
+                    source, groups = np.append(last[m.name], source), np.append(0, block)
+                smoothed = pd.Series(source).groupby(groups).ewm(alpha=m.alpha, adjust=False).mean().to_numpy()
+                smoothed = smoothed[1:] if continued else smoothed
+                raw[m.name] = smoothed
+                columns[m.name] = np.where(pdf["_pos"].to_numpy() >= m.warmup, smoothed, np.nan)
+            for name, terms, default in prior:
+                values = column(terms[0])
+                for term in terms[1:]:
+                    values = values - column(term)
+                before = np.append(last.get(name, default), values[:-1])
+                columns[name] = np.where(starts | np.isnan(before), default, before)
+                last[name] = values[-1]
+            last.update({n: v[-1] for n, v in raw.items()})
+            yield pdf.assign(**columns)
+
+    ordered = placed.df.sortWithinPartitions(*placed.keys, "_blk", placed.order)
+    return ordered.mapInPandas(smooth, schema)
 
 
 def sma(rows: int, source: str = "close", name: str | None = None) -> Indicator:

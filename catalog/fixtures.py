@@ -82,7 +82,7 @@ fx_prices as materialized (
 
 def prices_raw(spark: SparkSession, sf: str) -> DataFrame:
     """Two overlapping snapshots of the bars; the older one carries closes that were revised later."""
-    bars = prices(spark, sf)
+    daily = bars(spark, sf)
     old, new = F.lit("2000-12-31").cast("date"), F.lit("2001-12-31").cast("date")
     copies = F.filter(
         F.array(
@@ -91,7 +91,7 @@ def prices_raw(spark: SparkSession, sf: str) -> DataFrame:
         ),
         lambda x: x.isNotNull(),
     )
-    return bars.withColumn("_copy", F.explode(copies)).select(
+    return daily.withColumn("_copy", F.explode(copies)).select(
         "ticker", "date", "open", "high", "low", "_copy.close", "volume", "_copy.snapshot"
     )
 
