@@ -89,15 +89,16 @@ def place(
         ).alias("_blk"),
     )
     group = Window.partitionBy(*keys, "_blk")
-    # An outer join can only broadcast the placement table, never the rows. The explicit shuffle splits a key's blocks even where the
+    # An outer join can only broadcast the placement table, never the rows; conditions below are null-safe so that it stays one. The
+    # explicit shuffle splits a key's blocks even where the
     # rows arrive partitioned by key alone, which a window over (key, block) would otherwise accept.
     placed = (
         tagged.join(homes, [*keys, "_chunk"], "left")
         .repartition(*keys, "_blk")
         .withColumn("_n", F.row_number().over(group.orderBy(order)))
         .withColumn("_pos", F.min("_first").over(group) + F.col("_n") - 1)
-        .withColumn("_own", F.expr(f"_pos div {block_rows} = _blk"))
-        .filter(F.col("_pos") < (F.col("_blk") + 1) * block_rows)
+        .withColumn("_own", F.expr(f"_pos div {block_rows} <=> _blk"))
+        .filter(F.coalesce(F.col("_pos") < (F.col("_blk") + 1) * block_rows, F.lit(False)))
         .drop("_chunk", "_first")
     )
     return Placed(placed, tuple(keys), order)
