@@ -97,10 +97,9 @@ def pick_buckets(df: DataFrame, n_general: int, n_specific: int, by: Sequence[st
     wanted = n_general + n_specific
     batch = [*by] or ["_all"]
     source = df if by else df.withColumn("_all", F.lit(0))
-    offered = None
-    for bucket, size in pools.items():
-        part = rank(source.filter(F.col("bucket") == bucket), size, batch)
-        offered = part if offered is None else offered.unionByName(part)
+    offered = rank(source.filter(F.col("bucket").isin(*pools)), max(pools.values()), [*batch, "bucket"]).filter(
+        F.col("rank") <= F.when(F.col("bucket") == GENERAL, pools[GENERAL]).otherwise(pools[SPECIFIC])
+    )
     # from here on a batch has at most the two pools
     w = Window.partitionBy(*batch)
     turn = F.when(F.col("bucket") == GENERAL, 0).otherwise(1)

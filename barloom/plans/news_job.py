@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions import text
 from barloom.operators import dedupe, merge, news, pages
+from barloom.sources.tables import stage
 
 TOP_K = 25
 
@@ -60,6 +61,7 @@ def select_articles(
     picked = news.pick_buckets(news.scored(raw, as_of), n_general, n_specific, by)
     flat = dedupe.articles(picked, by=by)
     if page_table is not None:
+        flat = stage(flat, "picked")  # few rows, read by both sides of the page lookup
         flat = dedupe.articles(enrich(flat, page_table), by=by)
     kept = dedupe.top_per_key(flat, list(by), top_k, F.col("position").asc()) if by else flat.orderBy("position").limit(top_k)
     return article_rows(kept)

@@ -325,6 +325,45 @@ def news_daily_job(spark, sf):
     )
 
 
+@query(
+    "news_table_update",
+    f"""with {SCORED},
+one as (
+  select bucket, norm_url, title, score from scored where norm_url <> ''
+  qualify row_number() over (partition by bucket, norm_url order by has_image desc, score desc, coalesce(published_ts, 0) desc, seq) = 1)
+select norm_url as canonical_url, title, score from one where bucket = 'specific'
+union all
+select norm_url, title, score from one g where bucket = 'general' and not exists (select 1 from one s where s.bucket = 'specific' and s.norm_url = g.norm_url)""",
+)
+def news_table_update(spark, sf):
+    flat = dedupe.articles(scored(spark, sf), by=["bucket"])
+    old, new = (news_job.article_rows(flat.filter(F.col("bucket") == b)) for b in ("general", "specific"))
+    return news_job.update(old, new).select("canonical_url", "title", "score")
+
+
+@query("news_daily_enriched")
+def news_daily_enriched(spark, sf):
+    out = news_job.select_articles(articles(spark, sf), AS_OF_EPOCH, 5, 5, page_table=table(spark, sf, "pages"))
+    return out.select("article_id", "canonical_url", "title", "score", "content", "image_url")
+
+
+SQUEEZED = "trim(regexp_replace({c}, '[ \\t\\n\\r\\f\\v]+', ' ', 'g'))"
+CLIPPED = f"case when length({SQUEEZED}) > {{n}} then substr({SQUEEZED}, 1, {{n}}) || '…' else {SQUEEZED} end"
+
+
+@query(
+    "news_brief",
+    f"""with {ARTICLES},
+top as (select *, row_number() over (partition by source order by coalesce(published_ts, 0) desc, seq) as r from fx_articles qualify r <= 10)
+select source, string_agg('- [' || coalesce(strftime(make_timestamp(published_ts * 1000000), '%Y-%m-%d %H:%M'), '') || '] '
+         || {CLIPPED.format(c="title", n=140)} || ' (' || {CLIPPED.format(c="source", n=40)} || ')', chr(10) order by r) as text,
+       list(sha256(regexp_replace(url, '[?#].*$', '')) order by r) as article_ids
+from top group by source""",
+)
+def news_brief(spark, sf):
+    return news.brief(articles(spark, sf), by=["source"])
+
+
 # ---------------------------------------------------------------- daily summaries
 
 DAYS = "days as (select unnest(generate_series(timestamp '2023-12-30', timestamp '2024-02-03', interval 1 day))::date as day)"

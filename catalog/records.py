@@ -286,6 +286,26 @@ def content_create(spark, sf):
     return out.select("id", "title", "slug", "tags", F.col("published_at").cast("timestamp_ntz").alias("published_at"))
 
 
+@query("content_patch", f"""with {CONTENT},
+votes as (select doc_id, max(quality) as good, max(toxic) as bad from labels group by 1)
+select c.id, case when v.good = 1 and v.bad = 0 then 'Checked: ' || c.title else c.title end as title,
+       case when v.bad = 1 then null when v.good = 1 then timestamp '2024-01-31' else c.published_at end as published_at,
+       case when v.doc_id is not null then timestamp '2024-01-31' else c.created_at end as updated_at
+from fx_content c left join votes v on v.doc_id = c.id""")
+def content_patch(spark, sf):
+    now = F.lit(AS_OF).cast("timestamp_ntz")
+    votes = table(spark, sf, "labels").groupBy(F.col("doc_id").alias("id")).agg(F.max("quality").alias("good"), F.max("toxic").alias("bad"))
+    rows = content(spark, sf).select("id", "title", "published_at", F.col("created_at").alias("updated_at"))
+    fine = (F.col("good") == 1) & (F.col("bad") == 0)
+    edits = votes.join(rows.select("id", "title"), "id").select(
+        "id",
+        F.when(fine, F.concat(F.lit("Checked: "), "title")).alias("title"),
+        F.when(F.col("good") == 1, now).alias("published_at"),
+        F.when(F.col("bad") == 1, F.array(F.lit("published_at"))).alias("cleared"),
+    )
+    return merge.patch(rows, edits, ["id"], ["title", "published_at"], cleared="cleared", stamp={"updated_at": now})
+
+
 @query("content_lookup", f"with {CONTENT} select id, title from fx_content where id in (select doc_id from labels where quality = 1)")
 def content_lookup(spark, sf):
     from barloom.operators.query import lookup
