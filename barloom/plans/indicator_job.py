@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators import indicators, signals
 from barloom.sources.prices import read_prices
-from barloom.sources.tables import write_table
+from barloom.sources.tables import stage, write_table
 
 # Column names of the job's output table.
 OUTPUT = {
@@ -46,5 +46,10 @@ def compute(bars: DataFrame) -> DataFrame:
     return out.drop("bb_mid").withColumnsRenamed(OUTPUT)
 
 
+def from_snapshots(bars: DataFrame) -> DataFrame:
+    """Indicators over bars whose snapshots were resolved. That took a shuffle and is read twice below, so its result is stored first."""
+    return compute(stage(bars, "bars"))
+
+
 def run(spark: SparkSession, source: str, target: str) -> None:
-    write_table(compute(read_prices(spark, source)), target)
+    write_table(from_snapshots(read_prices(spark, source)), target)

@@ -283,7 +283,8 @@ select ticker, date, {q6("sma20")} as "SMA20", {q6("sma50")} as "SMA50", {q6("em
        cast(case when macd < signal and was >= was_signal then 1 else 0 end as int) as "SellSignal" from d""",
 )
 def indicator_job_query(spark, sf):
-    out = indicator_job.compute(latest_snapshot(prices_raw(spark, sf), ["ticker", "date"], "snapshot"))
+    raw = prices_raw(spark, sf).select("ticker", "date", "close", "snapshot")
+    out = indicator_job.from_snapshots(latest_snapshot(raw, ["ticker", "date"], "snapshot"))
     names = ("SMA20", "SMA50", "EMA12", "EMA26", "MACD", "Signal", "Histogram", "AvgGain", "AvgLoss", "RSI", "StdDev20", "UpperBand", "LowerBand")
     return rounded(out, ("ticker", F.col("Date").alias("date"), "BuySignal", "SellSignal"), *names)
 
