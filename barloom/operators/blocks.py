@@ -10,7 +10,8 @@ hold a third of all rows. Two helpers avoid that:
   (key, chunk), a scan over one summary row per (key, chunk), and a join of the two.
 
 A chunk is a slice of the order axis known without counting: the calendar year of the order column unless the
-caller gives another expression (finer bars want finer chunks). It must rise with the order. Order columns must be
+caller gives another expression. Daily bars have at most 366 rows per key and year; finer bars want finer chunks, so that a chunk
+holds fewer rows of a key than a block. A chunk must rise with the order. Order columns must be
 unique within a key and not null.
 """
 
