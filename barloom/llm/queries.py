@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import bpe, packing, simhash
+from barloom.llm import bpe, langid, packing, simhash
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def op6_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op7_language_ppm(spark, sf_dir):
+    return langid.predict(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_simhash(spark, sf_dir):
     return simhash.near_copies(table(spark, sf_dir, "documents"))
