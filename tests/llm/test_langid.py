@@ -67,7 +67,7 @@ def test_few_cells_still_score():
 def test_table(spark):
     rng = random.Random(3)
     rows = [(i, text_of(lang, rng), lang, "s") for i, lang in enumerate(list(WORDS) * 40)]
-    odd = [(500, None, "en", None), (501, "", "de", "s"), (502, "12 !! \n", None, "s"), (None, "the and of", None, "s"), (3, "und die", "de", "s"), (3, "und die", "de", "s"), (504, text_of("en", rng, 40_000), "en", "s")]
+    odd = [(500, None, "en", None), (501, "", "de", "s"), (502, "12 !! \n", None, "s"), (None, "the and of", None, "s"), (503, "und die", "de", "s"), (503, "und die", "de", "s"), (504, text_of("en", rng, 40_000), "en", "s")]
     docs = spark.createDataFrame(rows + odd, "doc_id bigint, text string, lang string, score string")
     got = langid.predict(docs, sample_rows=1000).collect()
     assert len(got) == len(rows) + len(odd)
