@@ -73,6 +73,8 @@ class Trees:
 
     def __init__(self, counts: list[tuple[str, int, int]], max_cells: int = MAX_CELLS):
         self.langs = sorted({lang for lang, _, _ in counts})
+        if not self.langs:
+            return
         n_lang = len(self.langs)
         at = {lang: i for i, lang in enumerate(self.langs)}
         lang = np.array([at[c[0]] for c in counts], np.int64)
