@@ -147,9 +147,10 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     filed = prints.select("fp", F.explode(F.expr("sequence(0, 63)")).alias("k")).selectExpr(
         "fp", "k", f"shiftleft(cast(k as bigint), 32) | (({half}) & ~shiftleft(1L, k % 32)) as key"
     )
-    sizes = stage(filed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "keys")
-    small = filed.drop("k").join(sizes.where(F.col("members") <= bucket), "key")
-    large = filed.join(sizes.where(F.col("members") > bucket), "key")
+    # both sides grow with the fingerprints, so neither is broadcast
+    sizes = filed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    met = stage(filed.join(stage(sizes, "keys").hint("merge"), "key"), "meetings")
+    small, large = met.where(F.col("members") <= bucket), met.where(F.col("members") > bucket)
     open_half = "case when k < 32 then shiftrightunsigned(fp, 32) else fp & 4294967295 end"
     quarter = "case when q < 16 then open & 65535 else shiftrightunsigned(open, 16) end"
     again = (
