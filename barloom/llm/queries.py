@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import bpe, langid, packing, simhash
+from barloom.llm import bpe, langid, packing, secrets, simhash
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,33 @@ def op7_language_ppm(spark, sf_dir):
 @query
 def op8_simhash(spark, sf_dir):
     return simhash.near_copies(table(spark, sf_dir, "documents"))
+
+
+def _secrets_sql() -> str:
+    """Every rule matched with every text; a match starts after all pieces and matches before it."""
+
+    def matches(number: int, rule: secrets.Rule) -> str:
+        p = rule.pattern.replace("'", "''")
+        return f"""select rid, {number} as k, '{rule.kind}' as kind, s, s + length(m[i]) as e from (
+            select *, cast(list_sum([length(x) for x in pieces[1:i]]) + coalesce(list_sum([length(x) for x in m[1:i - 1]]), 0) as bigint) as s from (
+              select *, unnest(range(1, len(m) + 1)) as i from (
+                select rid, string_split_regex(text, '{p}') as pieces, regexp_extract_all(text, '{p}', 0) as m, regexp_extract_all(text, '{p}', {rule.group}) as g
+                from d where regexp_matches(text, '{p}')))) where length(g[i]) >= {rule.least}"""
+
+    found = " union all ".join(matches(i, r) for i, r in enumerate(secrets.RULES))
+    base = len(secrets.BASE)
+    counts = ", ".join(f"count(*) filter (k = {i}) as n_{r.kind}" for i, r in enumerate(secrets.BASE))
+    names = ", ".join(f"coalesce(n_{r.kind}, 0) as n_{r.kind}" for r in secrets.BASE)
+    return f"""with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
+        found as ({found}),
+        spans as (select rid, {counts}, string_agg(kind || ':' || s || ':' || e, ',' order by s, k) as spans,
+            string_agg(kind || ':' || s || ':' || e, ',' order by s, k) filter (k < {base}) as base from found group by rid)
+        select doc_id, {names}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans from d left join spans using (rid)"""
+
+
+@query
+def op10_secret_scan(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op10_secret_scan"] = _secrets_sql()
