@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import bpe, langid, packing, secrets, simhash
+from barloom.llm import bpe, langid, packing, quality, secrets, simhash
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,55 @@ def op1_bpe_codec(spark, sf_dir):
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _quality_sql() -> str:
+    """The same sketches, merged and read by window functions."""
+
+    def bucket(v: str) -> str:
+        shift = f"cast(greatest(length(bin({v})) - {quality.KEPT_BITS}, 0) as bigint)"
+        return f"(({v} >> {shift}) << {shift})"
+
+    def limits(name: str, by: str) -> str:
+        by = f"{by}, " if by else ""
+        return f"""{name}_runs as (select *, sum(n) over (partition by {by}measure order by bucket) as seen, sum(n) over (partition by {by}measure) as total
+            from (select {by}measure, bucket, sum(n) as n from sketch group by {by}measure, bucket)),
+        {name} as (select {by}measure, cast(max(total) as bigint) as total, min(bucket) filter (100 * seen >= 50 * total) as middle,
+            min(bucket) filter (100 * seen >= reach * total) as reach from {name}_runs join params using (measure) group by {by}measure)"""
+
+    params = ", ".join(f"({i}, {m.side}, {m.reach}, {m.times}, {m.slack})" for i, m in enumerate(quality.MEASURES))
+    values = " union all ".join(f"select rid, lang, source, {i} as measure, {m.sql.replace(' div ', ' // ')} as v from passed" for i, m in enumerate(quality.MEASURES))
+    failed = quality.base_failed()
+    least = quality.LEAST_ROWS
+    return rf"""with d as (select row_number() over () as rid, doc_id, lang, source, coalesce(text, '') as text from documents),
+        s as (select *, regexp_extract_all(text, '[^ 	-]+') as w, [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^ 	-]')] as lines from d),
+        windows as (select rid, i, [w[i], w[i + 1], w[i + 2]] as key from (select rid, w, unnest(range(1, len(w) - 1)) as i from s)),
+        twice as (select rid, key from windows group by rid, key having count(*) > 1),
+        repeats as (select rid, count(distinct p) as n from (select rid, unnest([i, i + 1, i + 2]) as p from windows join twice using (rid, key)) group by rid),
+        counts as (select rid, doc_id, lang, source, cast(len(w) as bigint) as n_words, coalesce(length(array_to_string(w, '')), 0) as word_chars,
+            cast(len(regexp_extract_all(text, '[#*$%&|<>]')) as bigint) as n_symbols, cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines,
+            coalesce(n, 0) as n_repeat_words from s left join repeats using (rid)),
+        judged as (select *, {failed} as base_failed from counts),
+        passed as (select * from judged where not base_failed),
+        vals as ({values}),
+        sketch as (select lang, source, measure, {bucket("v")} as bucket, count(*) as n from vals group by lang, source, measure, {bucket("v")}),
+        params (measure, side, reach, times, slack) as (values {params}),
+        {limits("own", "lang, source")}, {limits("tongue", "lang")}, {limits("every", "")},
+        bound as (select o.lang, o.source, o.measure, case when o.total >= {least} then o.middle when t.total >= {least} then t.middle else e.middle end as middle,
+            case when o.total >= {least} then o.reach when t.total >= {least} then t.reach else e.reach end as reach
+            from own o join tongue t on o.lang is not distinct from t.lang and o.measure = t.measure join every e on e.measure = o.measure),
+        beyond as (select distinct rid from vals v join bound b on v.lang is not distinct from b.lang and v.source is not distinct from b.source and v.measure = b.measure
+            join params p on p.measure = v.measure where side * (v - (middle + side * (times * abs(middle - b.reach) + slack))) > 0)
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and beyond.rid is null as kept
+        from judged left join beyond using (rid)"""
+
+
+@query
+def op2_quality_rules(spark, sf_dir):
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op2_quality_rules"] = _quality_sql()
+
+
 @query
 def op6_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
