@@ -150,6 +150,7 @@ def keep_good(
         F.struct(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)]).alias("row"),
         *[F.col(f"`{c}`").alias(n) for c, n in ((text_col, "text"), (lang_col, "lang"), (source_col, "source"))],
     )
-    measured = stage(counted(rows).drop("text").where(f"not {base_failed()}"), "counts")
+    # no filter before the write: it would be pushed below the counts and evaluate them inside their own loops
+    measured = stage(counted(rows).drop("text"), "counts").where(f"not {base_failed()}")
     kept = _judged(measured, least_rows).where("kept")
     return kept.select(*[F.col(f"row.c{i}").alias(n) for i, n in enumerate(names)])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import bpe, langid, packing, quality, secrets, simhash
+from barloom.llm import bpe, langid, nearest, packing, quality, secrets, simhash
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,7 +43,9 @@ def _quality_sql() -> str:
     failed = quality.base_failed()
     least = quality.LEAST_ROWS
     return rf"""with d as (select row_number() over () as rid, doc_id, lang, source, coalesce(text, '') as text from documents),
-        s as (select *, regexp_extract_all(text, '[^ 	-]+') as w, [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^ 	-]')] as lines from d),
+        s as (select *, regexp_extract_all(text, '[^ 	-
+]+') as w, [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^ 	-
+]')] as lines from d),
         windows as (select rid, i, [w[i], w[i + 1], w[i + 2]] as key from (select rid, w, unnest(range(1, len(w) - 1)) as i from s)),
         twice as (select rid, key from windows group by rid, key having count(*) > 1),
         repeats as (select rid, count(distinct p) as n from (select rid, unnest([i, i + 1, i + 2]) as p from windows join twice using (rid, key)) group by rid),
@@ -73,6 +75,18 @@ def op2_quality_rules(spark, sf_dir):
 ORACLE["op2_quality_rules"] = _quality_sql()
 
 
+@query
+def op5_nearest_blocks(spark, sf_dir):
+    return nearest.search(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op5_nearest_blocks"] = """with v as (select distinct vec_id, [cast(x as double) for x in embedding] as e from embeddings
+        where vec_id is not null and len(embedding) > 0 and len([x for x in embedding if x is null or not isfinite(x)]) = 0 and len([x for x in embedding if x != 0]) > 0),
+    pairs as (select q.vec_id as query_id, c.vec_id, list_distance(q.e, c.e) as score from v q join v c on q.vec_id != c.vec_id and len(q.e) = len(c.e) where q.vec_id % 100 = 0)
+    select query_id, cast(rank as int) as rank, vec_id, score
+    from (select *, row_number() over (partition by query_id order by score, vec_id) as rank from pairs) where rank <= 10"""
+
+
 @query
 def op6_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
