@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
 import zlib
 from array import array
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,7 @@ from barloom.llm.bpe import read_vocabulary
 from barloom.llm.common import columns, map_batches, per_worker, stage
 
 CAPACITY, END_ID = 2048, 0
-CACHE_WORDS, CACHE_BYTES = 500_000, 48
+CACHE_WORDS, CACHE_BYTES = 700_000, 48
 #: Most pricing rounds of the linear program, and how strongly a length that lags behind in coverage gains price.
 ROUNDS, RATE = 150, 0.5
 #: Rows of one length that one task numbers.
@@ -29,26 +31,68 @@ class WordCodec:
     """A tokenizer whose words never cross white space, with the ids of frequent words kept."""
 
     def __init__(self, vocabulary: str, cache_words: int = CACHE_WORDS):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[bytes, bytes] = {}
+        ids = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(1 + max(ids.values()), bool)
+        self.ends[[i for word, i in ids.items() if word.endswith("</w>")]] = True
+        self.chunks: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.cache_words = cache_words
 
+    def _ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+    def _letters(self, words: list[str]) -> None:
+        """Put words of letters alone, each a single word of the vocabulary's pattern, among the known words."""
+        ids = np.frombuffer(self._ids(" ".join(words)), dtype=np.uint32)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words):
+            self.words.update((w, self._ids(w)) for w in words)
+            return
+        flat, begin = ids.tobytes(), 0
+        for word, end in zip(words, (4 * ends).tolist(), strict=True):
+            self.words[word] = flat[begin:end]
+            begin = end
+
+    def _learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of new chunks. Letters, at most with one of the commonest stops after them, are looked up as lower-case words."""
+        out, plain = {}, []
+        for chunk in chunks:
+            text = chunk.decode()
+            stop = text[-1] if text[-1] in ".," else ""
+            word = text[:-1] if stop else text
+            word = (word if word.isascii() else normalize("NFC", word)).replace("Σ", "σ").lower()
+            if word.isalpha():
+                plain.append((chunk, word, stop))
+            else:
+                out[chunk] = self._ids(text)
+        if len(self.words) > self.cache_words:
+            self.words.clear()
+        new = [w for w in {w for _, w, _ in plain} if w not in self.words]
+        if new:
+            self._letters(new)
+        for stop in {s for _, _, s in plain if s and s not in self.words}:
+            self.words[stop] = self._ids(stop)
+        for chunk, word, stop in plain:
+            out[chunk] = self.words[word] + self.words[stop] if stop else self.words[word]
+        return out
+
     def encode(self, text: str) -> bytes:
         """Ids as native unsigned 32-bit integers. The text is cut at ASCII white space, which ends words and is no part of them."""
-        words = text.encode().split()
-        found = list(map(self.known.get, words))
+        parts = text.encode().split()
+        known = self.chunks
+        found = list(map(known.get, parts))
         if None in found:
-            new = list({w for w, ids in zip(words, found, strict=True) if ids is None})
-            made = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            fresh = {w: array("I", e.ids).tobytes() for w, e in zip(new, made, strict=True)}
-            found = [fresh[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
-            if len(self.known) + len(fresh) > self.cache_words:
-                self.known.clear()
-            self.known.update((w, ids) for w, ids in fresh.items() if len(w) <= CACHE_BYTES)
+            fresh = self._learn({p for p, ids in zip(parts, found, strict=True) if ids is None})
+            found = [fresh[p] if ids is None else ids for p, ids in zip(parts, found, strict=True)]
+            if len(known) + len(fresh) > self.cache_words:
+                known.clear()
+            known.update((p, ids) for p, ids in fresh.items() if len(p) <= CACHE_BYTES)
         return b"".join(found)
 
 
