@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import bpe, langid, nearest, packing, quality, secrets, simhash
+from barloom.llm import bpe, langid, licenses, nearest, packing, quality, secrets, simhash
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,11 @@ def op8_simhash(spark, sf_dir):
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def _secrets_sql() -> str:
     """Every rule matched with every text; a match starts after all pieces and matches before it."""
 
