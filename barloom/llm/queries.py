@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import bpe, langid, licenses, nearest, packing, pii, quality, secrets, simhash
+from barloom.llm import bpe, html_text, langid, licenses, nearest, packing, pii, quality, secrets, simhash
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,11 @@ def op3_personal_data(spark, sf_dir):
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_main_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op5_nearest_blocks(spark, sf_dir):
     return nearest.search(table(spark, sf_dir, "embeddings"))
