@@ -181,14 +181,24 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROU
     The covering program has a row for each length and a column for each content of a bin. A length's price starts at its share of a
     bin, an optimal dual where bins can be filled, and is multiplied by exp(rate * lag), the lag of its covered share behind that of
     all tokens. Each round the knapsack finds the content of greatest price, and as many whole bins of it are taken as half of what
-    is left allows. So the columns stay whole numbers; what is left after the last round is rounded up by best-fit decreasing.
+    is left allows. So the columns stay whole numbers. What a round leaves is rounded up by best-fit decreasing; of several rounds,
+    the one whose bins come out fewest is taken, the latest of equal ones.
     """
     bins: list[Bins] = []
+    best: tuple[int, list[Bins]] | None = None
+
+    def rounded() -> tuple[int, list[Bins]]:
+        every = bins + best_fit(left, capacity)
+        count = sum(many for many, _ in every)
+        return (count, every) if best is None or count <= best[0] else best
+
     left = {length: n for length, n in histogram.items() if n > 0}
     if capacity in left:
         bins.append((left.pop(capacity), [(capacity, 1)]))
     total, begun = sum(length * n for length, n in left.items()), dict(left)
-    for _ in range(rounds if len(left) > 1 else 0):
+    for done in range(rounds if len(left) > 1 else 0):
+        if done % max(1, rounds // 8) == 0 or done < 8:
+            best = rounded()
         rest = sum(length * n for length, n in left.items())
         if rest <= 4 * capacity or not left:
             break
@@ -204,7 +214,7 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROU
             left[length] -= many * n
             if not left[length]:
                 del left[length]
-    return bins + best_fit(left, capacity)
+    return rounded()[1]
 
 
 def _places(bins: list[Bins]) -> dict[int, np.ndarray]:

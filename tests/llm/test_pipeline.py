@@ -4,7 +4,7 @@ from collections import Counter
 
 import corpus_pipeline
 import public_tokenizers
-from llm.test_packing import check_places, slow_pieces
+from llm.test_packing import check_places, first_fit, slow_pieces
 from llm.test_quality import slow_verdicts
 from llm.test_secrets import slow_clean, slow_spans
 from llm.test_simhash import slow_print, slow_sets
@@ -47,7 +47,7 @@ def test_stages(spark, tmp_path):
     packed = corpus_pipeline.STAGES[-1][1](spark, at, str(tmp_path)).collect()
     fields = ("doc_id", "piece", "start", "length", "ids_crc32")
     assert Counter(tuple(r[n] for n in fields) for r in packed) == Counter((r[0], *p) for r in clean for p in slow_pieces(r[1], library))
-    assert check_places(packed) <= 1 + -(-sum(r["length"] for r in packed) // 2048)
+    assert check_places(packed) <= first_fit([r["length"] for r in packed])
 
 
 def test_run(spark):
