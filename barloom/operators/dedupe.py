@@ -1,7 +1,7 @@
 """One row per key.
 
 All of these filter a row number, for which Spark keeps only the leading rows of each key before the shuffle, so a key with very
-many copies does not gather in one task.
+many copies does not gather in one task. Spark does so up to a number of rows that a setting names; it is raised where more are asked for.
 """
 
 from __future__ import annotations
@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 from barloom.functions.text import has_real_image, norm_url, title_key
 
 
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
 def _first(df: DataFrame, keys: Sequence[str | Column], *order: Column, n: int = 1) -> DataFrame:
+    conf = df.sparkSession.conf
+    if n > int(conf.get(GROUP_LIMIT)):
+        conf.set(GROUP_LIMIT, str(n))
     by = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(by)).filter(F.col("_rank") <= n).drop("_rank")
 

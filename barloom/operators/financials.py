@@ -57,12 +57,15 @@ def transpose(df: DataFrame, items: str = "item", keys: Sequence[str] = ("ticker
     return long.select(*keys, items, F.to_date("_period").alias("period_end"), "value")
 
 
-def assemble(statements: DataFrame, recent_quarters: DataFrame | None = None) -> DataFrame:
+def assemble(statements: DataFrame, recent_quarters: DataFrame | None = None, order: str | None = None) -> DataFrame:
     """One row per (ticker, period) from income, balance and cash-flow items.
 
     One pivot stands for the full outer join of the three statements. An alternate item name is used where the first is missing or zero. A ticker
-    without any statement gets one empty row at its most recent quarter, if ``recent_quarters`` (ticker, period_end) knows it.
+    without any statement gets one empty row at its most recent quarter, if ``recent_quarters`` (ticker, period_end) knows it. Of an item
+    that comes more than once (a restated figure) the last by ``order`` counts, without an order the largest.
     """
+    value = F.max_by("value", order) if order else F.max("value")
+    statements = statements.groupBy("ticker", "period_end", "statement", "item").agg(value.alias("value"))
 
     def item(statement: str, name: str, digits: int) -> Column:
         hit = (F.col("statement") == statement) & (F.col("item") == name)

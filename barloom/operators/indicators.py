@@ -7,6 +7,7 @@ recursive, which no built-in expression offers, so they run over Arrow batches.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -16,11 +17,6 @@ from pyspark.sql import types as T
 
 from barloom.operators.blocks import BLOCK_ROWS, Placed, place
 
-# Rows after which the weight of a restarted exponential mean is below double precision for spans up to 30 and
-# for the mean of a mean: 2 * 37 / -ln(1 - 2/31) is about 1,110.
-EWM_LOOKBACK = 1200
-
-
 @dataclass(frozen=True)
 class Ewm:
     """An exponential mean to be taken over ``source``: seeded with its first value, null before ``warmup`` values."""
@@ -32,6 +28,19 @@ class Ewm:
     minus: str | None = None  # when set, the source is the difference source - minus
 
 
+def fading_rows(means: Sequence[Ewm]) -> int:
+    """Rows after which the weight of all older rows, and so of where the means started, is below double precision.
+
+    A row's weight falls by 1 - alpha with each later row; 37 is -ln of half a unit in the last place. The rows of a mean of other
+    means add to theirs.
+    """
+    depth: dict[str, int] = {}
+    for m in means:
+        below = max(depth.get(m.source, 0), depth.get(m.minus or "", 0))
+        depth[m.name] = below + (math.ceil(37 / -math.log1p(-m.alpha)) if m.alpha < 1 else 1) + m.warmup
+    return max(depth.values(), default=0)
+
+
 @dataclass(frozen=True)
 class Indicator:
     """``before`` adds window columns, ``means`` are exponential means, ``after`` adds row-level columns."""
@@ -142,13 +151,14 @@ def macd(mode: str = "ewm", fast: int = 12, slow: int = 26, signal: int = 9, sou
         return Indicator(slow + signal, columns)
     if mode != "ewm":
         raise ValueError(f"unknown mode {mode!r}")
+    means = (
+        Ewm("_fast", source, 2.0 / (fast + 1)),
+        Ewm("_slow", source, 2.0 / (slow + 1)),
+        Ewm("macd_signal", "_fast", 2.0 / (signal + 1), minus="_slow"),
+    )
     return Indicator(
-        EWM_LOOKBACK,
-        means=(
-            Ewm("_fast", source, 2.0 / (fast + 1)),
-            Ewm("_slow", source, 2.0 / (slow + 1)),
-            Ewm("macd_signal", "_fast", 2.0 / (signal + 1), minus="_slow"),
-        ),
+        fading_rows(means),
+        means=means,
         after=lambda df: df.withColumn("macd", F.col("_fast") - F.col("_slow")).withColumn(
             "macd_hist", F.col("macd") - F.col("macd_signal")
         ),
@@ -207,10 +217,11 @@ def rsi(mode: str = "sma", rows: int = 14, fill: float | None = None, source: st
             }
         )
 
+    means = (Ewm("_avg_up", "_up", 1.0 / rows, warmup=rows), Ewm("_avg_down", "_down", 1.0 / rows, warmup=rows))
     return Indicator(
-        EWM_LOOKBACK,
+        fading_rows(means) + 1,
         before=moves,
-        means=(Ewm("_avg_up", "_up", 1.0 / rows, warmup=rows), Ewm("_avg_down", "_down", 1.0 / rows, warmup=rows)),
+        means=means,
         after=lambda df: df.withColumn(
             "rsi",
             F.coalesce(_strength(F.col("_avg_up"), F.col("_avg_down")), neutral),

@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 from barloom.operators.dedupe import latest_per_key
 
 
-def _same(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
-
-
 def _without(target: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is not in ``gone``."""
     doomed = gone.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
@@ -34,7 +30,12 @@ def _matched(target: DataFrame, changes: DataFrame, keys: Sequence[str], how: st
 
 
 def _one_per_key(changes: DataFrame, keys: Sequence[str], order: str | None) -> DataFrame:
-    return latest_per_key(changes, keys, order).drop(order) if order else changes
+    """The last change of each key; without an order a key that comes twice is an error when the rows are read."""
+    if order:
+        return latest_per_key(changes, keys, order).drop(order)
+    row = F.struct(*changes.columns)
+    single = F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(F.lit("a key is changed more than once and no order is given")))
+    return changes.groupBy(*keys).agg(F.first(row).alias("_row"), F.count(F.lit(1)).alias("_n")).select(single.alias("_row")).select("_row.*")
 
 
 def upsert(
@@ -42,7 +43,7 @@ def upsert(
 ) -> DataFrame:
     """Changed keys take the new row, all others stay.
 
-    ``order`` picks the last of several changes to a key (without it changes must be unique). ``preserve`` names columns that keep
+    ``order`` picks the last of several changes to a key (without it a repeated key is an error). ``preserve`` names columns that keep
     their old value where the key existed. If a key column is missing from the target, whole rows are merged instead.
     """
     if not set(keys) <= set(target.columns):
@@ -76,24 +77,30 @@ def patch(
     columns: Sequence[str],
     cleared: str | None = None,
     stamp: dict[str, Column] | None = None,
+    order: str | None = None,
 ) -> DataFrame:
     """Change single columns of existing rows.
 
     A null in ``changes`` leaves the column as it is, unless the array column ``cleared`` names it, which sets it to null.
-    ``stamp`` columns are set on every row that was changed.
+    ``stamp`` columns are set on every row that was changed. Several changes to a key are folded in ``order``: for each column the last
+    one that sets or clears it counts. Without an order a repeated key is an error.
     """
-    both = _matched(target, changes, keys, "left")
-    touched = F.col(f"_c_{keys[0]}").isNotNull()
-
-    def value(c: str) -> Column:
-        new = F.coalesce(F.col(f"_c_{c}"), F.col(c))
-        if cleared is None:
-            return new
-        wipe = F.coalesce(F.array_contains(F.col(f"_c_{cleared}"), F.lit(c)), F.lit(False))
-        return F.when(~wipe, new)
-
-    out = both.withColumns({c: value(c) for c in columns})
-    out = out.withColumns({c: F.when(touched, v).otherwise(F.col(c)) for c, v in (stamp or {}).items()})
+
+    def change(c: str) -> Column:
+        """(set, value) of a column that a change touches, else null."""
+        wipe = F.coalesce(F.array_contains(F.col(cleared), F.lit(c)), F.lit(False)) if cleared else F.lit(False)
+        return F.when(wipe | F.col(c).isNotNull(), F.struct(F.when(~wipe, F.col(c)).alias("v")))
+
+    events = changes.select(*keys, *([order] if order else []), *[change(c).alias(f"_set_{c}") for c in columns])
+    if order:
+        last = [F.max_by(F.col(f"_set_{c}"), F.when(F.col(f"_set_{c}").isNotNull(), F.col(order))).alias(f"_set_{c}") for c in columns]
+        events = events.groupBy(*keys).agg(*last)
+    else:
+        events = _one_per_key(events, keys, None)
+    both = _matched(target, events.withColumn("_hit", F.lit(True)), keys, "left")
+    new = {c: F.when(F.col(f"_c__set_{c}").isNotNull(), F.col(f"_c__set_{c}.v")).otherwise(F.col(c)) for c in columns}
+    out = both.withColumns(new)
+    out = out.withColumns({c: F.when(F.col("_c__hit"), v).otherwise(F.col(c)) for c, v in (stamp or {}).items()})
     return out.select(*target.columns)
 
 

@@ -135,11 +135,15 @@ def cap_per_query(df: DataFrame, n: int, key: str = "query") -> DataFrame:
 
 
 def tag_tickers(df: DataFrame, tickers: DataFrame, columns: Sequence[str] = ("title", "snippet")) -> DataFrame:
-    """(article, ticker) for every ticker an article mentions as a word, in any case.
+    """(article, ticker) for every ticker an article mentions as a word, in any case. Words may hold single dots and dashes, as tickers
+    do; such a word also counts as its parts.
 
     Texts become distinct words that meet the tickers in an equi join; matching every article with every ticker would be a cross join.
     """
-    words = F.array_distinct(F.transform(F.split(F.concat_ws(" ", *columns), r"[^\p{L}\p{N}]+"), F.upper))
+    whole = F.upper(F.concat_ws(" ", *columns))
+    parts = F.split(whole, r"[^\p{L}\p{N}]+")
+    compound = F.regexp_extract_all(whole, F.lit(r"[\p{L}\p{N}]+(?:[.-][\p{L}\p{N}]+)+"), F.lit(0))
+    words = F.array_distinct(F.concat(parts, compound))
     mentioned = df.select("seq", F.explode(words).alias("ticker")).filter("ticker <> ''")
     return mentioned.join(tickers.select(F.upper("ticker").alias("ticker")).distinct(), "ticker").select("seq", "ticker")
 
@@ -157,19 +161,14 @@ def summary_candidates(df: DataFrame, as_of: int, hours: int = RECENT_HOURS, by:
     return out.select(*df.columns)
 
 
-# How much of an article a digest shows.
-DIGEST_SNIPPET, DIGEST_CONTENT = 1000, 1500
-BULLET_TITLE, BULLET_SOURCE = 140, 40
-
-
-def _block(a: Column) -> Column:
+def _block(a: Column, snippet_chars: int | None, content_chars: int | None) -> Column:
     """The lines of one article in a digest, closed by an empty line."""
 
     def text_of(name: str) -> Column:
         return F.coalesce(a[name], F.lit(""))
 
-    snippet = F.substring(text_of("snippet"), 1, DIGEST_SNIPPET)
-    content = F.substring(text_of("content"), 1, DIGEST_CONTENT)
+    snippet = F.substring(text_of("snippet"), 1, snippet_chars) if snippet_chars else text_of("snippet")
+    content = F.substring(text_of("content"), 1, content_chars) if content_chars else text_of("content")
     lines = F.array(
         F.concat(F.lit("["), a["rank"].cast("string"), F.lit("] "), text_of("title")),
         F.when(
@@ -185,9 +184,17 @@ def _block(a: Column) -> Column:
     return F.array_join(F.array_compact(lines), "\n")
 
 
-def digest(df: DataFrame, n: int = DIGEST_ARTICLES, hours: int = RECENT_HOURS, day: str = "dt") -> DataFrame:
+def digest(
+    df: DataFrame,
+    n: int = DIGEST_ARTICLES,
+    hours: int = RECENT_HOURS,
+    day: str = "dt",
+    snippet_chars: int | None = None,
+    content_chars: int | None = None,
+) -> DataFrame:
     """One row per day: its ``n`` newest articles of the last ``hours`` (to the end of the day) as records and as one text.
 
+    The text has whole snippets and contents unless ``snippet_chars`` and ``content_chars`` say how much of each to show.
     Ranking keeps at most ``n`` articles per day before the shuffle, so collecting them is bounded.
     """
     seconds = F.unix_timestamp(F.col("published_at_ts")).alias("_ts")
@@ -203,20 +210,29 @@ def digest(df: DataFrame, n: int = DIGEST_ARTICLES, hours: int = RECENT_HOURS, d
     return out.select(
         day,
         "article_count",
-        F.array_join(F.transform("articles", _block), "\n").alias("text"),
+        F.array_join(F.transform("articles", lambda a: _block(a, snippet_chars, content_chars)), "\n").alias("text"),
         F.transform("articles", lambda a: F.struct(*[a[f].alias(f) for f in fields])).alias("articles"),
     )
 
 
-def bullet(published_ts: Column, title: Column, source: Column) -> Column:
-    """One headline line: time, title and source."""
+WHOLE = 2**31 - 1  # longer than any text
+
+
+def bullet(published_ts: Column, title: Column, source: Column, title_chars: int | None = None, source_chars: int | None = None) -> Column:
+    """One headline line: time, title and source, clipped only where lengths are given."""
+
+    def shown(value: Column, chars: int | None) -> Column:
+        return text.clip(value, WHOLE if chars is None else chars)
+
     when = F.coalesce(F.date_format(F.timestamp_seconds(published_ts), "yyyy-MM-dd HH:mm"), F.lit(""))
     return F.concat(
-        F.lit("- ["), when, F.lit("] "), text.clip(title, BULLET_TITLE), F.lit(" ("), text.clip(source, BULLET_SOURCE), F.lit(")")
+        F.lit("- ["), when, F.lit("] "), shown(title, title_chars), F.lit(" ("), shown(source, source_chars), F.lit(")")
     )
 
 
-def brief(df: DataFrame, n: int = DIGEST_ARTICLES, by: Sequence[str] = ()) -> DataFrame:
+def brief(
+    df: DataFrame, n: int = DIGEST_ARTICLES, by: Sequence[str] = (), title_chars: int | None = None, source_chars: int | None = None
+) -> DataFrame:
     """Headline lines and ids of the ``n`` newest candidates of each batch."""
     batch = [*by] or ["_all"]
     source = df if by else df.withColumn("_all", F.lit(0))
@@ -224,7 +240,7 @@ def brief(df: DataFrame, n: int = DIGEST_ARTICLES, by: Sequence[str] = ()) -> Da
     item = F.struct(
         (-_recency()).alias("o"),
         F.col("seq"),
-        bullet(F.col("published_ts"), F.col("title"), F.col("source")).alias("line"),
+        bullet(F.col("published_ts"), F.col("title"), F.col("source"), title_chars, source_chars).alias("line"),
         text.article_id(text.norm_url(F.col("url")), F.col("title")).alias("id"),
     )
     out = newest.groupBy(*batch).agg(F.sort_array(F.collect_list(item)).alias("_items"))

@@ -1,174 +1,168 @@
-"""Main text and lead picture of fetched pages.
-
-Markup is nested and often broken, which no expression can follow, so pages are parsed in Python, one Arrow batch at a time. The
-tree is never built: one pass over the tags gathers the few texts and addresses needed.
-"""
+"""Main text and lead picture of fetched pages, as column expressions."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-# A text shorter than this is looked for in the next place; the longest text kept; names of pictures that are no content.
+# A text shorter than this is looked for in the next place; names of pictures that are no content.
 ENOUGH = 400
-MAX_CHARS = 12000
 BAD_IMAGE = r"(sprite|favicon|logo|brand|icon|placeholder|1x1|blank|data:image)"
-META_IMAGES = (("property", "og:image"), ("property", "og:image:url"), ("name", "twitter:image"), ("name", "twitter:image:src"))
-OTHER_IMAGES = (("link", "rel", "image_src"), ("meta", "itemprop", "image"), ("meta", "name", "parsely-image"), ("meta", "name", "thumbnail"))
+# Where pages name their picture, in order of preference (tag, attribute, value, attribute with the address).
+NAMED_IMAGES = (
+    ("meta", "property", "og:image", "content"),
+    ("meta", "property", "og:image:url", "content"),
+    ("meta", "name", "twitter:image", "content"),
+    ("meta", "name", "twitter:image:src", "content"),
+    ("link", "rel", "image_src", "href"),
+    ("meta", "itemprop", "image", "content"),
+    ("meta", "name", "parsely-image", "content"),
+    ("meta", "name", "thumbnail", "content"),
+)
 IMAGE_ATTRIBUTES = ("data-src", "data-original", "srcset", "src")
+# Character references by name; the first line also counts without a semicolon.
+OLD_NAMES = {"nbsp": "\xa0", "copy": "©", "reg": "®", "middot": "·", "laquo": "«", "raquo": "»", "quot": '"', "lt": "<", "gt": ">"}
+NAMES = {"apos": "'", "hellip": "…", "mdash": "—", "ndash": "–", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "bull": "•", "euro": "€", "trade": "™"}
+
+_SILENT = r"(?is)<!--.*?(?:-->|\z)|<(script|style|noscript|template)\b.*?(?:</\1\s*>|\z)"
+_TAG = r"(?s)<[/!?a-zA-Z][^>]*(?:>|\z)"
+
+
+def _each(items: Column, fn) -> Column:
+    return F.transform(items, fn)
+
+
+def decoded(text: Column) -> Column:
+    """Character references as characters; the ampersand comes last, so nothing is decoded twice."""
+
+    def number(pattern: str, base: int, digits: str):
+        def step(acc: Column, ref: Column) -> Column:
+            code = F.conv(F.regexp_extract(ref, digits, 0), base, 16)
+            char = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+            return F.replace(acc, ref, char)
+
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+        return lambda t: F.when(F.size(found) > 0, F.reduce(found, t, step)).otherwise(t)
+
+    for pattern, base, digits in ((r"&#[0-9]{1,6};", 10, r"[0-9]+"), (r"&#[xX][0-9a-fA-F]{1,5};", 16, r"[0-9a-fA-F]+(?=;)")):
+        text = number(pattern, base, digits)(text)
+    for name, char in OLD_NAMES.items():
+        text = F.regexp_replace(text, f"&{name};?", char)
+    for name, char in NAMES.items():
+        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
+    return F.regexp_replace(text, "&amp;?", "&")
+
+
+def plain(markup: Column) -> Column:
+    """Markup to text: silent elements and tags to blanks, references decoded, white space collapsed."""
+    bare = F.regexp_replace(F.regexp_replace(markup, _SILENT, " "), _TAG, " ")
+    return F.trim(F.regexp_replace(decoded(bare), r"[\s\x0B ]+", " "))
+
+
+def _inner(markup: Column, tag: str) -> Column:
+    """What stands in the first element of a kind, to the end of the page where it is never closed."""
+    return F.regexp_extract(markup, rf"(?is)<{tag}\b[^>]*>(.*?)(?:</{tag}\s*>|\z)", 1)
+
+
+def _longer(a: Column, b: Column) -> Column:
+    return F.when(F.length(b) > F.length(a), b).otherwise(a)
+
+
+def _nodes(html: Column) -> Column:
+    """The objects of a page's structured data: each document, the members of a list or a graph, and the main entity."""
+    scripts = F.regexp_extract_all(html, F.lit(r"(?is)<script\b[^>]*application/ld\+json[^>]*>(.*?)</script\s*>"), F.lit(1))
+
+    def members(document: Column) -> Column:
+        listed = [F.from_json(x, "array<string>") for x in (document, F.get_json_object(document, "$.@graph"))]
+        entity = F.array(F.get_json_object(document, "$.mainEntity"))
+        return F.concat(F.array(document), *[F.coalesce(x, F.array().cast("array<string>")) for x in listed], entity)
+
+    return F.filter(F.flatten(_each(scripts, members)), lambda n: n.isNotNull())
+
+
+def _body(nodes: Column) -> Column:
+    """The longest article text of the structured data."""
+
+    def of(node: Column) -> Column:
+        kind = F.lower(F.coalesce(F.get_json_object(node, "$.@type"), F.get_json_object(node, "$.type"), F.lit("")))
+        return F.when(F.contains(kind, F.lit("article")), F.trim(F.coalesce(F.get_json_object(node, "$.articleBody"), F.lit("")))).otherwise("")
+
+    return F.reduce(_each(nodes, of), F.lit(""), _longer)
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    pattern = rf"(?is)(?<![\w-]){name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+    return F.trim(F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)]))
+
+
+def _tags(html: Column, names: str) -> Column:
+    return F.regexp_extract_all(html, F.lit(rf"(?is)<(?:{names})\b[^>]*>"), F.lit(0))
+
+
+def _node_images(node: Column) -> Column:
+    value = F.coalesce(F.get_json_object(node, "$.image"), F.lit(""))
+    listed = F.coalesce(F.when(value.startswith("["), F.from_json(value, "array<string>")), F.array(value))
+
+    def address(v: Column) -> Column:
+        return F.when(v.startswith("{"), F.coalesce(F.get_json_object(v, "$.url"), F.get_json_object(v, "$.contentUrl"), F.lit(""))).otherwise(v)
+
+    return _each(listed, address)
+
+
+def absolute(address: Column, base: Column) -> Column:
+    """An address of a page at ``base`` as a full one."""
+    origin = F.regexp_extract(base, r"^([a-zA-Z][\w+.-]*://[^/?#]*)", 1)
+    folder = F.regexp_extract(F.regexp_replace(base, r"[?#].*$", ""), r"^([a-zA-Z][\w+.-]*://[^/]*/(?:.*/)?)", 1)
+    return (
+        F.when(address.rlike(r"^[a-zA-Z][\w+.-]*:"), address)
+        .when(address.startswith("//"), F.concat(F.regexp_extract(base, r"^([a-zA-Z][\w+.-]*:)", 1), address))
+        .when(address.startswith("/"), F.concat(origin, address))
+        .otherwise(F.concat(F.when(folder != "", folder).when(origin != "", F.concat(origin, F.lit("/"))).otherwise(""), F.regexp_replace(address, r"^\./", "")))
+    )
+
+
+def lead_image(html: Column, base: Column, bad: str = BAD_IMAGE) -> Column:
+    """The first picture a page names, in its head, its structured data or its body, that ``bad`` does not match."""
+
+    def named(tag: str, attribute: str, value: str, address: str) -> Column:
+        wanted = F.filter(_tags(html, tag), lambda t: F.array_contains(F.split(F.lower(_attribute(t, attribute)), r"\s+"), value))
+        return _each(wanted, lambda t: _attribute(t, address))
+
+    found = [named(*where) for where in NAMED_IMAGES]
+    found.append(F.flatten(_each(_nodes(html), _node_images)))
+
+    def source(t: Column) -> Column:
+        first = [F.regexp_extract(_attribute(t, a), r"^([^\s,]+)", 1) if a == "srcset" else _attribute(t, a) for a in IMAGE_ATTRIBUTES]
+        return F.coalesce(*[F.nullif(x, F.lit("")) for x in first], F.lit(""))
+
+    found.append(_each(_tags(html, "img|amp-img"), source))
+    full = _each(F.filter(F.concat(*found), lambda a: F.trim(a) != ""), lambda a: absolute(decoded(F.trim(a)), base))
+    return F.get(F.filter(full, lambda a: ~a.startswith("data:") & ~a.rlike(f"(?i){bad}")), 0)
+
+
+def main_text(html: Column, enough: int = ENOUGH) -> Column:
+    """Text from structured data, then from the article or main element, then from all paragraphs: each next place is asked only while
+    the text has fewer than ``enough`` characters, and the longer one stays."""
+    shown = F.regexp_replace(html, _SILENT, " ")
+    container = F.when(shown.rlike(r"(?i)<article\b"), _inner(shown, "article")).otherwise(_inner(shown, "main"))
+    paragraphs = F.regexp_extract_all(shown, F.lit(r"(?is)<p(?:\s[^>]*)?>(.*?)(?=</p\s*>|<p[\s>]|\z)"), F.lit(1))
+    places = [_body(_nodes(html)), plain(container), plain(F.array_join(paragraphs, " "))]
+    return reduce(lambda text, place: F.when(F.length(text) >= enough, text).otherwise(_longer(text, place)), places)
+
 
+def extract(df: DataFrame, key: str = "page_id", max_chars: int | None = None, enough: int = ENOUGH, bad: str = BAD_IMAGE) -> DataFrame:
+    """(key, url, title, text, image) of every page (``key``, ``url``, ``html``).
 
-def parse(html: str, base: str, max_chars: int | None = MAX_CHARS) -> tuple[str | None, str | None, str | None]:
-    """(title, main text, lead picture) of one page."""
-    import json
-    import re
-    from html.parser import HTMLParser
-    from urllib.parse import urljoin
-
-    class Pass(HTMLParser):
-        def __init__(self):
-            super().__init__(convert_charrefs=True)
-            self.open: list[str] = []
-            self.parts = {"title": [], "article": [], "main": []}
-            self.done: set[str] = set()
-            self.paragraphs: list[list[str]] = []
-            self.in_paragraph = False
-            self.linked: list[str] = []
-            self.script: list[str] | None = None
-            self.skip = 0
-            self.metas: list[tuple[str, dict]] = []
-            self.images: list[tuple[str, bool]] = []
-
-        def handle_starttag(self, tag, attrs):
-            a = {k: v or "" for k, v in attrs}
-            if tag in ("meta", "link"):
-                self.metas.append((tag, a))
-            elif tag in ("img", "amp-img"):
-                self.images.append(a)
-            elif tag == "script":
-                self.script = [] if a.get("type", "").lower() == "application/ld+json" else None
-                self.skip += 1
-            elif tag in ("style", "noscript", "template"):
-                self.skip += 1
-            elif tag == "p":
-                self.paragraphs.append([])
-                self.in_paragraph = True
-            if tag in self.parts:
-                self.open.append(tag)
-
-        def handle_endtag(self, tag):
-            if tag == "script":
-                if self.script is not None:
-                    self.linked.append("".join(self.script))
-                self.script = None
-                self.skip = max(0, self.skip - 1)
-            elif tag in ("style", "noscript", "template"):
-                self.skip = max(0, self.skip - 1)
-            elif tag == "p":
-                self.in_paragraph = False
-            if tag in self.open:
-                # only the first article and the first main count
-                while self.open and self.open.pop() != tag:
-                    pass
-                if tag not in self.open:
-                    self.done.add(tag)
-
-        def handle_data(self, data):
-            if self.script is not None:
-                self.script.append(data)
-            if self.skip:
-                return
-            for name in self.open:
-                if name not in self.done:
-                    self.parts[name].append(data)
-            if self.in_paragraph:
-                self.paragraphs[-1].append(data)
-
-    def joined(pieces) -> str:
-        return " ".join(" ".join(pieces).split())
-
-    def nodes(value):
-        """Every object of a JSON document, outer ones first."""
-        if isinstance(value, dict):
-            yield value
-            for v in value.values():
-                yield from nodes(v)
-        elif isinstance(value, list):
-            for v in value:
-                yield from nodes(v)
-
-    def pictures(value):
-        if isinstance(value, str):
-            yield value
-        elif isinstance(value, dict):
-            yield from (value[k] for k in ("url", "contentUrl") if isinstance(value.get(k), str))
-        elif isinstance(value, list):
-            for v in value:
-                yield from pictures(v)
-
-    page = Pass()
-    page.feed(html or "")
-    page.close()
-
-    linked = []
-    for script in page.linked:
-        try:
-            linked.append(json.loads(script))
-        except ValueError:
-            continue
-
-    text = ""
-    for document in linked:
-        if len(text) >= ENOUGH:
-            break
-        for node in nodes(document):
-            kind = str(node.get("@type") or node.get("type") or "").lower()
-            body = str(node.get("articleBody") or "").strip() if "article" in kind else ""
-            text = max(text, body, key=len)
-    container = page.parts["article"] or page.parts["main"]
-    for candidate in (joined(container), joined(" ".join(p) for p in page.paragraphs)):
-        if len(text) < ENOUGH:
-            text = max(text, candidate, key=len)
-
-    def wanted(kind, attribute, name):
-        return [a for tag, a in page.metas if tag == kind and name in (a.get(attribute, ""), *a.get(attribute, "").split())]
-
-    found = [a.get("content", "") for attribute, name in META_IMAGES for a in wanted("meta", attribute, name)]
-    found += [a.get("href") or a.get("content", "") for kind, attribute, name in OTHER_IMAGES for a in wanted(kind, attribute, name)]
-    found += [u for document in linked for node in nodes(document) for u in pictures(node.get("image"))]
-    for a in page.images:
-        for attribute in IMAGE_ATTRIBUTES:
-            value = a.get(attribute, "").strip()
-            if value:
-                found.append(value.split(",")[0].strip().split(" ")[0] if attribute == "srcset" else value)
-                break
-    image = None
-    for u in dict.fromkeys(urljoin(base or "", f.strip()) for f in found if f.strip()):
-        if not u.startswith("data:") and not re.search(BAD_IMAGE, u, re.IGNORECASE):
-            image = u
-            break
-    title = joined(page.parts["title"]) or None
-    return title, (text if max_chars is None else text[:max_chars]) or None, image
-
-
-def extract(df: DataFrame, key: str = "page_id", max_chars: int | None = MAX_CHARS) -> DataFrame:
-    """(key, url, title, text, image) of every page (``key``, ``url``, ``html``)."""
-    kind = df.schema[key].dataType.simpleString()
-
-    def parse_all(batches: Iterator) -> Iterator:
-        import pandas as pd
-
-        for pdf in batches:
-            rows = [parse(h, u, max_chars) for h, u in zip(pdf["html"], pdf["url"])]
-            yield pd.DataFrame(
-                {
-                    key: pdf[key].to_numpy(),
-                    "url": pdf["url"].to_numpy(),
-                    "title": [r[0] for r in rows],
-                    "text": [r[1] for r in rows],
-                    "image": [r[2] for r in rows],
-                }
-            )
-
-    return df.select(key, "url", "html").mapInPandas(parse_all, f"{key} {kind}, url string, title string, text string, image string")
+    Texts are whole unless ``max_chars`` cuts them; ``bad`` is the pattern of pictures that do not count.
+    """
+    html = F.coalesce("html", F.lit(""))
+    text = main_text(html, enough)
+    return df.select(
+        key,
+        "url",
+        F.nullif(plain(_inner(html, "title")), F.lit("")).alias("title"),
+        F.nullif(text if max_chars is None else F.substring(text, 1, max_chars), F.lit("")).alias("text"),
+        lead_image(html, F.coalesce("url", F.lit("")), bad).alias("image"),
+    )

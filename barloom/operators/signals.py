@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.operators.blocks import Placed, place
-from barloom.operators.indicators import EWM_LOOKBACK, Indicator, bollinger, exponential, macd, rsi
+from barloom.operators.indicators import Indicator, bollinger, exponential, macd, rsi
 
 
 def crossover() -> Indicator:
@@ -30,11 +30,10 @@ def batch_rule(df: DataFrame, hold: int = 5, keys: tuple[str, ...] = ("ticker",)
     Buy needs all of: MACD under its signal line and under zero, RSI under 30, close at or under the lower band. Sell is the mirror
     image with RSI over 70.
     """
-    lookback = EWM_LOOKBACK + hold
-    placed = place(df, keys, order, lookback)
+    line = macd()
+    placed = place(df, keys, order, line.lookback + hold)
     for i in (bollinger(20, ddof=1, fill=0.0), rsi("sma", fill=50.0)):
         placed = i.before(placed)
-    line = macd()
     placed = placed.with_df(line.after(exponential(placed, list(line.means), [])))
     buy = (
         (F.col("macd") < F.col("macd_signal"))

@@ -5,14 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions import text
 from barloom.operators import dedupe, merge, news, pages
-from barloom.sources.tables import stage
-
-TOP_K = 25
+from barloom.sources.tables import replace, stage
 
 
 def article_rows(picked: DataFrame) -> DataFrame:
@@ -55,21 +53,27 @@ def select_articles(
     n_specific: int,
     by: Sequence[str] = (),
     page_table: DataFrame | None = None,
-    top_k: int = TOP_K,
+    top_k: int | None = None,
 ) -> DataFrame:
-    """Score, pick per bucket, collapse by address, enrich, collapse again, keep ``top_k`` in order."""
+    """Score, pick per bucket, collapse by address, enrich, collapse again, keep all or the first ``top_k`` in order."""
     picked = news.pick_buckets(news.scored(raw, as_of), n_general, n_specific, by)
     flat = dedupe.articles(picked, by=by)
     if page_table is not None:
         flat = stage(flat, "picked")  # few rows, read by both sides of the page lookup
         flat = dedupe.articles(enrich(flat, page_table), by=by)
-    kept = dedupe.top_per_key(flat, list(by), top_k, F.col("position").asc()) if by else flat.orderBy("position").limit(top_k)
-    return article_rows(kept)
+    if top_k is not None:
+        flat = dedupe.top_per_key(flat, list(by), top_k, F.col("position").asc()) if by else flat.orderBy("position").limit(top_k)
+    return article_rows(flat)
+
+
+def update(articles: DataFrame, picked: DataFrame, order: str | None = None) -> DataFrame:
+    """The article table with the picked rows written over rows of the same address; picks that repeat an address need an ``order``."""
+    return merge.upsert(articles, picked, ["canonical_url"], order=order)
 
 
-def update(articles: DataFrame, picked: DataFrame) -> DataFrame:
-    """The article table with the picked rows written over rows of the same address."""
-    return merge.upsert(articles, picked, ["canonical_url"])
+def run(spark: SparkSession, path: str, picked: DataFrame, order: str | None = None) -> None:
+    """Write the picks into the article table at ``path``."""
+    replace(update(spark.read.parquet(path), picked, order), path)
 
 
 def backfill(scored: DataFrame, start: date, end: date, window_days: int = 10, overlap_days: int = 2, n_general: int = 5, n_specific: int = 5) -> DataFrame:

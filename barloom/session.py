@@ -33,13 +33,16 @@ def session(name: str = "barloom", master: str | None = None, **extra: str) -> S
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (a local test) a new temporary folder is taken and kept for
-    the rest of the session.
+    Only a local session, whose executors are this machine, may name none: then a new temporary folder is taken and kept for the rest
+    of the session. On a cluster such a folder would lose rows, so there it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not named:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("name a folder that every executor can reach in spark.checkpoint.dir")
         named = tempfile.mkdtemp(prefix="barloom-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")

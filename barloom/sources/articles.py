@@ -35,7 +35,6 @@ ITEM_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("title", "link", "pubDate", "description", "source", "query")]
 )
 FEED_SOURCE = "Google News"
-MAX_ITEMS_PER_QUERY = 10
 
 
 def read_articles(spark: SparkSession, path: str, dt: str | None = None) -> DataFrame:
@@ -65,10 +64,10 @@ def read_feeds(spark: SparkSession, path: str) -> DataFrame:
 
 
 def articles_from_items(
-    items: DataFrame, per_query: int = MAX_ITEMS_PER_QUERY, order: Sequence[str] = ("query", "seq")
+    items: DataFrame, per_query: int | None = None, order: Sequence[str] = ("query", "seq")
 ) -> DataFrame:
-    """Article rows: the first items of each query, each link once (by first appearance in ``order``)."""
-    capped = top_per_key(items, ["query"], per_query, F.col("seq").asc())
+    """Article rows: all items or the first ``per_query`` of each query, each link once (by first appearance in ``order``)."""
+    capped = items if per_query is None else top_per_key(items, ["query"], per_query, F.col("seq").asc())
     once = first_per_key(capped.withColumn("_order", F.struct(*order)), ["link"], "_order")
     return once.select(
         text.link_id(F.col("link")).alias("article_id"),

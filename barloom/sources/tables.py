@@ -30,9 +30,9 @@ def spread(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Overwrite a table. With ``by``, only the partitions present in ``df`` are replaced."""
+    """Overwrite a table. With ``by``, only the partitions present in ``df`` are replaced; :func:`replace` also removes emptied ones."""
     if not by:
-        df.write.mode("overwrite").format(fmt).save(path)
+        replace(df, path, fmt=fmt)
         return
     (
         spread(df, by)
@@ -44,6 +44,26 @@ def write_table(df: DataFrame, path: str, by: Sequence[str] = (), fmt: str = "pa
     )
 
 
+def replace(df: DataFrame, path: str, by: Sequence[str] = (), fmt: str = "parquet") -> None:
+    """Make ``df`` the whole table at ``path``, which ``df`` itself may read.
+
+    The rows are written beside the table, then the folders are swapped and the old one is deleted; a run that fails before the swap
+    leaves the table as it was. Partitions without rows in ``df`` are gone, so deletes take effect.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    new, old, at = (hadoop.Path(p) for p in (f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}", path))
+    writer = (spread(df, by) if by else df).write.format(fmt)
+    (writer.partitionBy(*by) if by else writer).save(new.toString())
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(at) and not files.rename(at, old):
+        raise OSError(f"cannot move {path} aside")
+    if not files.rename(new, at):
+        raise OSError(f"cannot move the new rows to {path}; the old ones are in {old.toString()}")
+    files.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

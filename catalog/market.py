@@ -240,6 +240,20 @@ def ind_macd_ewm(spark, sf):
     return rounded(indicators.add(bars(spark, sf), indicators.macd("ewm")), KEYS, "macd", "macd_signal", "macd_hist")
 
 
+WIDE_MACD = MACD_EWM.replace("2.0::double / 13", "2.0::double / 101").replace("2.0::double / 27", "2.0::double / 201").replace("0.2::double", "(2.0::double / 51)")
+
+
+@query(
+    "ind_macd_wide",
+    f"""with recursive {PRICES}, {WIDE_MACD}
+select ticker, date, {q6("macd")} as macd, {q6("macd_signal")} as macd_signal, {q6("macd_hist")} as macd_hist from macd_ewm""",
+)
+def ind_macd_wide(spark, sf):
+    """Spans that reach over several blocks."""
+    wide = indicators.macd("ewm", fast=100, slow=200, signal=50)
+    return rounded(indicators.add(bars(spark, sf), wide, block_rows=64), KEYS, "macd", "macd_signal", "macd_hist")
+
+
 RSI_WILDER = f"""
 steps14 as materialized (
   select ticker, rn - 1 as rn, greatest(close - was, 0) as up, greatest(was - close, 0) as down
@@ -261,6 +275,18 @@ def ind_rsi_wilder(spark, sf):
     return rounded(indicators.add(bars(spark, sf), indicators.rsi("wilder")), KEYS, "rsi")
 
 
+WIDE_RSI = RSI_WILDER.replace("/ 14)", "/ 200)").replace("n.rn > 14", "n.rn > 200")
+
+
+@query(
+    "ind_rsi_wide",
+    f"""with recursive {PRICES}, numbered as materialized (select *, row_number() over (partition by ticker order by date) as rn from fx_prices), {WIDE_RSI}
+select ticker, date, {q6("rsi")} as rsi from numbered join wilder using (ticker, rn)""",
+)
+def ind_rsi_wide(spark, sf):
+    return rounded(indicators.add(bars(spark, sf), indicators.rsi("wilder", rows=200), block_rows=64), KEYS, "rsi")
+
+
 @query(
     "indicator_job",
     f"""with {PRICES_RAW},

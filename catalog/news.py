@@ -206,15 +206,16 @@ def news_cap_per_query(spark, sf):
 @query(
     "news_tag_tickers",
     f"""with {ARTICLES},
-tickers as (select distinct upper(w) as ticker from (select unnest(string_split(text, ' ')) as w from benchmark) where regexp_full_match(w, '[A-Za-z]{{6,}}')),
-words as (select distinct seq, unnest(regexp_split_to_array(title || ' ' || snippet, '[^\\p{{L}}\\p{{N}}]+')) as w from fx_articles)
+tickers as (select distinct upper(w) as ticker from (select unnest(string_split(text, ' ')) as w from benchmark) where regexp_full_match(w, '[A-Za-z]+([.-][A-Za-z]+)*')),
+whole as (select seq, title || ' ' || snippet as t from fx_articles),
+words as (select seq, unnest(regexp_split_to_array(t, '[^\\p{{L}}\\p{{N}}]+') || regexp_extract_all(t, '[\\p{{L}}\\p{{N}}]+(?:[.-][\\p{{L}}\\p{{N}}]+)+')) as w from whole)
 select distinct seq, ticker from words join tickers on ticker = upper(w)""",
 )
 def news_tag_tickers(spark, sf):
     names = (
         table(spark, sf, "benchmark")
         .select(F.explode(F.split("text", " ")).alias("ticker"))
-        .filter(F.col("ticker").rlike("^[A-Za-z]{6,}$"))
+        .filter(F.col("ticker").rlike("^[A-Za-z]+([.-][A-Za-z]+)*$"))
     )
     return news.tag_tickers(articles(spark, sf), names)
 
@@ -278,7 +279,7 @@ select dt, count(*) as article_count,
 from newest group by dt""",
 )
 def news_digest(spark, sf):
-    return news.digest(digest_job.as_lines(articles(spark, sf))).select("dt", "article_count", "text")
+    return news.digest(digest_job.as_lines(articles(spark, sf)), snippet_chars=1000, content_chars=1500).select("dt", "article_count", "text")
 
 
 @query(
@@ -361,7 +362,7 @@ select source, string_agg('- [' || coalesce(strftime(make_timestamp(published_ts
 from top group by source""",
 )
 def news_brief(spark, sf):
-    return news.brief(articles(spark, sf), by=["source"])
+    return news.brief(articles(spark, sf), by=["source"], title_chars=140, source_chars=40)
 
 
 # ---------------------------------------------------------------- daily summaries
@@ -412,13 +413,13 @@ def summary_asof_exact(spark, sf):
 @query(
     "price_asof",
     """
-with bids as (select event_id, user_id, ts from events where event_type = 'purchase'),
+with bids as (select event_id, user_id, ts from events),
 logins as (select user_id, ts, event_id as login from events where event_type = 'signup')
 select b.event_id, b.user_id, b.ts, l.ts as fact_ts, login from bids b asof left join logins l on b.user_id = l.user_id and b.ts >= l.ts""",
 )
 def price_asof(spark, sf):
     events = table(spark, sf, "events")
-    bids = events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    bids = events.select("event_id", "user_id", "ts")
     logins = events.filter("event_type = 'signup'").select("user_id", "ts", F.col("event_id").alias("login"))
     return asof.backward(bids, logins, "ts", ["user_id"], chunk=F.to_date("ts"))
 

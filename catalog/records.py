@@ -12,6 +12,8 @@ from barloom.operators import companies as company_ops
 from barloom.operators import content as content_ops
 from barloom.operators import financials as statement_ops
 from barloom.operators import insights, merge, quality
+from barloom.sources import tables
+from barloom.sources.prices import scratch
 from barloom.sources.tables import conform
 from catalog.fixtures import (
     AS_OF,
@@ -121,13 +123,12 @@ def financials_assemble(spark, sf):
 
 
 @query("financials_transpose", f"""with {STATEMENTS}
-select ticker, 'income' as statement, 'Total Revenue' as item, period_end, cast(revenue as double) as value from fx_financials
-where year(period_end) between 1996 and 1999""")
+select ticker, 'income' as statement, 'Total Revenue' as item, period_end, cast(revenue as double) as value from fx_financials where revenue is not null""")
 def financials_transpose(spark, sf):
     wide = (
         statements(spark, sf)
         .groupBy("ticker")
-        .pivot("period_end", [date(y, 12, 31) for y in range(1996, 2000)])
+        .pivot("period_end", [date(y, 12, 31) for y in range(1992, 2003)])
         .agg(F.max(F.col("revenue").cast("double")))
         .withColumns({"statement": F.lit("income"), "item": F.lit("Total Revenue")})
     )
@@ -236,7 +237,7 @@ def content_page(spark, sf):
     return content_ops.page(out, 2, 12).select("id", "title", "published_at")
 
 
-@query("content_admin_page", f"with {CONTENT} select id, created_at from fx_content order by created_at desc, id limit 200")
+@query("content_admin_page", f"with {CONTENT} select id, created_at from fx_content order by created_at desc, id limit 500")
 def content_admin_page(spark, sf):
     return content_ops.page(tagged(spark, sf), 0, 500, newest="created").select("id", "created_at")
 
@@ -318,9 +319,9 @@ def content_lookup(spark, sf):
 
 
 def target(spark, sf):
-    """One row per user who signed up in the first two days."""
-    early = table(spark, sf, "events").filter((F.col("event_type") == "signup") & (F.col("ts") < F.lit("2024-01-03").cast("timestamp_ntz")))
-    return early.groupBy(F.col("user_id").alias("k")).agg(F.min("value").alias("amount"), F.min("event_id").alias("created_seq"))
+    """One row per customer."""
+    key = F.col("c_custkey").cast("long")
+    return table(spark, sf, "customer").select(key.alias("k"), F.col("c_acctbal").cast("double").alias("amount"), (-key).alias("created_seq"))
 
 
 def changes(spark, sf):
@@ -335,7 +336,7 @@ def changes(spark, sf):
 
 
 MERGE = """
-tgt as (select user_id as k, min(value) as amount, min(event_id) as created_seq from events where event_type = 'signup' and ts < timestamp '2024-01-03' group by 1),
+tgt as (select cast(c_custkey as bigint) as k, cast(c_acctbal as double) as amount, cast(-c_custkey as bigint) as created_seq from customer),
 chg as (select event_id as seq, user_id as k, case when event_type = 'error' then 'D' else 'U' end as op, value as amount, event_id as created_seq from events),
 last as (select * from chg qualify row_number() over (partition by k order by seq desc) = 1)"""
 
@@ -356,18 +357,21 @@ def merge_insert_new(spark, sf):
     return merge.insert_new(target(spark, sf), changes(spark, sf).drop("op"), ["k"], order="seq")
 
 
-@query("merge_patch", f"""with {MERGE}
-select t.k, case when l.k is null then t.amount when l.op = 'D' then null when l.amount > 50 then l.amount else t.amount end as amount, t.created_seq
-from tgt t left join last l using (k)""")
+@query("merge_patch", f"""with {MERGE},
+touch as (select * from chg where op = 'D' or amount > 50 qualify row_number() over (partition by k order by seq desc) = 1)
+select t.k, case when l.k is null then t.amount when l.op = 'U' then l.amount end as amount, t.created_seq, l.k is not null as stamped
+from tgt t left join touch l using (k)""")
 def merge_patch(spark, sf):
-    from barloom.operators.dedupe import latest_per_key
-
-    last = latest_per_key(changes(spark, sf), ["k"], "seq").select(
+    """All changes of a key folded: the last that sets or clears the amount counts."""
+    every = changes(spark, sf).select(
         "k",
+        "seq",
         F.when(F.col("amount") > 50, F.col("amount")).alias("amount"),
         F.when(F.col("op") == "D", F.array(F.lit("amount"))).alias("cleared"),
     )
-    return merge.patch(target(spark, sf), last, ["k"], ["amount"], cleared="cleared")
+    fold = every.filter("amount is not null or cleared is not null")
+    plain = target(spark, sf).withColumn("stamped", F.lit(False))
+    return merge.patch(plain, fold, ["k"], ["amount"], cleared="cleared", stamp={"stamped": F.lit(True)}, order="seq")
 
 
 @query("merge_delete", f"with {MERGE} select * from tgt where k not in (select k from last where op = 'D')")
@@ -385,13 +389,13 @@ def merge_apply_changes(spark, sf):
 
 
 @query("merge_rekey", f"""with {MERGE},
-moves as (select k as old_k, case when k % 2 = 0 then k + 1000 else k end as new_k, amount + 1 as amount, created_seq from tgt)
+moves as (select k as old_k, case when k % 2 = 0 then k + 1000000000 else k end as new_k, amount + 1 as amount, created_seq from tgt)
 select new_k as k, amount, created_seq from moves""")
 def merge_rekey(spark, sf):
     t = target(spark, sf)
     moves = t.select(
         F.col("k").alias("old_k"),
-        F.when(F.col("k") % 2 == 0, F.col("k") + 1000).otherwise(F.col("k")).alias("new_k"),
+        F.when(F.col("k") % 2 == 0, F.col("k") + 1000000000).otherwise(F.col("k")).alias("new_k"),
         F.row_number().over(Window.partitionBy("k").orderBy("created_seq")).cast("long").alias("seq"),
         (F.col("amount") + 1).alias("amount"),
         "created_seq",
@@ -399,6 +403,28 @@ def merge_rekey(spark, sf):
     return merge.rekey(t, moves, ["k"], "old_k", "new_k")
 
 
+@query("table_update", f"with {MERGE} select coalesce(l.k, t.k) as k, coalesce(l.amount, t.amount) as amount, coalesce(l.created_seq, t.created_seq) as created_seq from tgt t full join last l using (k)")
+def table_update(spark, sf):
+    """Read, merge and write back at one path."""
+    path = scratch(spark, "update")
+    tables.replace(target(spark, sf), path)
+    tables.replace(merge.upsert(spark.read.parquet(path), changes(spark, sf).drop("op"), ["k"], order="seq"), path)
+    return spark.read.parquet(path)
+
+
+@query("table_delete", f"with {MERGE} select *, cast(k % 8 as int) as part from tgt where k not in (select k from last where op = 'D') and k % 8 <> 3")
+def table_delete(spark, sf):
+    """Deletes in a partitioned table, which empty one of its partitions."""
+    from barloom.operators.dedupe import latest_per_key
+
+    path = scratch(spark, "delete")
+    tables.replace(target(spark, sf).withColumn("part", (F.col("k") % 8).cast("int")), path, by=["part"])
+    gone = latest_per_key(changes(spark, sf), ["k"], "seq").filter("op = 'D'").select("k")
+    gone = gone.union(target(spark, sf).filter("k % 8 = 3").select("k")).distinct()
+    tables.replace(merge.delete(spark.read.parquet(path), gone, ["k"]), path, by=["part"])
+    return spark.read.parquet(path)
+
+
 @query("merge_cascade", "select o_orderkey, o_custkey from orders where o_custkey not in (select c_custkey from customer where c_acctbal < 0)")
 def merge_cascade(spark, sf):
     gone = table(spark, sf, "customer").filter("c_acctbal < 0")

@@ -5,42 +5,63 @@ from barloom.operators import pages
 LONG = "word " * 100
 
 
-def test_structured_data_first():
+def parse(spark, html, url, **options):
+    row = pages.extract(spark.createDataFrame([(1, url, html)], "page_id long, url string, html string"), **options).head()
+    return row.title, row.text, row.image
+
+
+def test_structured_data_first(spark):
     html = (
         '<html><head><title> A  &amp; B </title><script type="application/ld+json">{"@graph": [{"@type": "NewsArticle", "articleBody": "'
         + LONG
         + '", "image": {"url": "/lead.jpg"}}]}</script></head><body><article>short</article></body></html>'
     )
-    title, text, image = pages.parse(html, "https://x.example/a/b")
+    title, text, image = parse(spark, html, "https://x.example/a/b")
     assert (title, text, image) == ("A & B", LONG.strip(), "https://x.example/lead.jpg")
 
 
-def test_article_then_paragraphs():
+def test_article_then_paragraphs(spark):
     html = f"<body><nav>menu</nav><article><h1>Head</h1><p>One<script>var x = '</p>';</script> two</p></article><p>{LONG}</p><p>end</body>"
-    _, text, _ = pages.parse(html, "https://x.example/")
+    _, text, _ = parse(spark, html, "https://x.example/")
     assert text.startswith("One two word") and text.endswith("end") and "menu" not in text and "var x" not in text
-    _, text, _ = pages.parse(f"<body><main>{LONG}<b>tail</b></main><p>other</p></body>", "")
+    _, text, _ = parse(spark, f"<body><main>{LONG}<b>tail</b></main><p>other</p></body>", "")
     assert text == LONG + "tail"
-    assert pages.parse("<body><article>only &lt;this&gt;</article></body>", "")[1] == "only <this>"
+    assert parse(spark, "<body><article>only &lt;this&gt;</article></body>", "")[1] == "only <this>"
 
 
-def test_broken_structured_data_is_skipped():
+def test_broken_structured_data_is_skipped(spark):
     html = '<script type="application/ld+json">{broken</script><article>fine</article>'
-    assert pages.parse(html, "")[1] == "fine"
+    assert parse(spark, html, "")[1] == "fine"
 
 
-def test_image_order_and_filters():
+def test_image_order_and_filters(spark):
     html = """<head><meta property="og:image" content="https://x.example/logo.png"><meta name="twitter:image" content=" pic.jpg ">
     <link rel="image_src" href="/other.jpg"></head><body><img src="data:image/png;base64,xx"><img srcset="/s1.jpg 1x, /s2.jpg 2x"></body>"""
-    assert pages.parse(html, "https://x.example/d/")[2] == "https://x.example/d/pic.jpg"
-    assert pages.parse('<img src="/favicon.ico"><img data-src="/a.jpg" src="/b.jpg">', "https://x.example")[2] == "https://x.example/a.jpg"
-    assert pages.parse('<img srcset="/s1.jpg 1x, /s2.jpg 2x">', "https://x.example")[2] == "https://x.example/s1.jpg"
-    assert pages.parse("<p>none</p>", "")[2] is None
+    assert parse(spark, html, "https://x.example/d/")[2] == "https://x.example/d/pic.jpg"
+    assert parse(spark, '<img src="/favicon.ico"><img data-src="/a.jpg" src="/b.jpg">', "https://x.example")[2] == "https://x.example/a.jpg"
+    assert parse(spark, '<img srcset="/s1.jpg 1x, /s2.jpg 2x">', "https://x.example")[2] == "https://x.example/s1.jpg"
+    assert parse(spark, "<p>none</p>", "")[2] is None
+
+
+def test_wide_pattern_is_an_argument(spark):
+    html = '<img src="/avatar.jpg"><img src="/lead.jpg">'
+    assert parse(spark, html, "https://x.example")[2] == "https://x.example/avatar.jpg"
+    assert parse(spark, html, "https://x.example", bad=pages.BAD_IMAGE[:-1] + "|avatar)")[2] == "https://x.example/lead.jpg"
+
+
+def test_references_and_edges(spark):
+    assert parse(spark, "<article>&#233; &#x1F600; &amp;lt; &hellip; a&nbsp;b &copy</article>", "")[1] == "é 😀 &lt; … a b ©"
+    for n in (399, 400):
+        html = f"<article>{'a' * n}</article><p>{'b' * 500}</p>"
+        assert parse(spark, html, "")[1][0] == ("a" if n == 400 else "b")
+    assert parse(spark, "<p>x<p>y</p>", "", enough=1)[1] == "x y"
 
 
-def test_cap_is_optional_and_batches_agree(spark):
+def test_nothing_is_cut_unless_asked(spark):
     html = "<article>" + "abc " * 5000 + "</article>"
     df = spark.createDataFrame([(i, f"https://x.example/{i}", html if i else None) for i in range(5)], "page_id long, url string, html string")
-    whole = {r.page_id: r.text for r in pages.extract(df, max_chars=None).collect()}
-    cut = {r.page_id: r.text for r in pages.extract(df).collect()}
-    assert whole[0] is None and len(whole[1]) == 19999 and len(cut[1]) == pages.MAX_CHARS and whole[1].startswith(cut[1])
+    whole = {r.page_id: r.text for r in pages.extract(df).collect()}
+    cut = {r.page_id: r.text for r in pages.extract(df, max_chars=12000).collect()}
+    assert whole[0] is None and len(whole[1]) == 19999 and len(cut[1]) == 12000 and whole[1].startswith(cut[1])
+    plan = pages.extract(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
