@@ -6,13 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions import text
+from barloom.operators.dedupe import first_per_key
+from barloom.streaming import partials
 
 
 def unique_articles(articles: DataFrame, lateness: str = "2 days", time: str = "published_at") -> DataFrame:
-    """Each address once, by its form without query and fragment. Addresses are remembered for ``lateness``, so the state stays bounded."""
+    """Each address once within ``lateness``, by its form without query and fragment; a later repeat comes out again, and an article later
+    than that is dropped. :func:`store_unique` keeps each address once for good."""
     return (
         articles.withColumn(time, F.col(time).cast("timestamp"))
         .withColumn("canonical_url", text.norm_url(F.col("canonical_url")))
         .withWatermark(time, lateness)
         .dropDuplicatesWithinWatermark(["canonical_url"])
     )
+
+
+def store_unique(articles: DataFrame, path: str, checkpoint: str, time: str = "published_at") -> None:
+    """Add the articles of a stream to the table at ``path``, each address once for good, whenever it comes.
+
+    A micro-batch adds the addresses that no earlier batch has stored, the first article by time of each. No state is held, no article is
+    too late, and a repeated batch replaces itself.
+    """
+    spark = articles.sparkSession
+
+    def fold(batch: DataFrame, batch_id: int) -> DataFrame:
+        named = batch.withColumn("canonical_url", text.norm_url(F.col("canonical_url"))).withColumn(time, F.col(time).cast("timestamp"))
+        fresh = first_per_key(named, ["canonical_url"], time)
+        if batch_id == 0:
+            return fresh
+        stored = partials.read(spark, path).filter(F.col("batch") < batch_id).select("canonical_url")
+        return fresh.join(stored, "canonical_url", "left_anti").select(*named.columns)
+
+    partials.start(articles, path, checkpoint, fold)

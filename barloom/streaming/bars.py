@@ -1,8 +1,12 @@
-"""Daily bars from a stream of ticks, and sessions of activity."""
+"""Daily bars from a stream of ticks, and sessions of activity.
+
+``daily_bars`` and ``sessions`` emit what is closed, once, and drop what comes later than the lateness. The partial forms keep every row:
+micro-batches store partial bars and sessions, and the merge gives all days and sessions, the open ones too.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -36,3 +40,35 @@ def sessions(events: DataFrame, key: str, gap: str, lateness: str = "1 day") ->
         .agg(F.count(F.lit(1)).alias("events"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
     )
     return found.select(key, "first_ts", "last_ts", "events")
+
+
+def partial_bars(ticks: DataFrame, order: str = "seq") -> DataFrame:
+    """What a micro-batch knows of each ticker and day."""
+    at = F.struct(F.col("ts").cast("timestamp").alias("ts"), F.col(order).alias("seq"), "price")
+    return ticks.groupBy("ticker", F.to_date("ts").alias("date")).agg(
+        F.min(at).alias("first"), F.max("price").alias("high"), F.min("price").alias("low"), F.max(at).alias("last"), F.sum("quantity").alias("volume")
+    )
+
+
+def merged_bars(partials: DataFrame) -> DataFrame:
+    """The bars of all ticks so far."""
+    bars = partials.groupBy("ticker", "date").agg(
+        F.min("first").alias("first"), F.max("high").alias("high"), F.min("low").alias("low"), F.max("last").alias("last"), F.sum("volume").alias("volume")
+    )
+    return bars.select("ticker", "date", F.col("first.price").alias("open"), "high", "low", F.col("last.price").alias("close"), "volume")
+
+
+def partial_sessions(events: DataFrame, key: str, gap: str) -> DataFrame:
+    """The runs of events within a micro-batch."""
+    found = events.withColumn("ts", F.col("ts").cast("timestamp")).groupBy(F.session_window("ts", gap).alias("session"), key)
+    return found.agg(F.count(F.lit(1)).alias("events"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")).drop("session")
+
+
+def merged_sessions(partials: DataFrame, key: str, gap: str) -> DataFrame:
+    """Runs of all events so far: partial runs no further apart than ``gap`` are one."""
+    by_time = Window.partitionBy(key).orderBy("first_ts", "last_ts")
+    earlier = F.max("last_ts").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.coalesce(F.col("first_ts") > earlier + F.expr(f"interval {gap}"), F.lit(True))
+    numbered = partials.withColumn("_new", new.cast("int")).withColumn("_run", F.sum("_new").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
+    out = numbered.groupBy(key, "_run").agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.sum("events").alias("events"))
+    return out.drop("_run")

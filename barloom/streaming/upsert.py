@@ -28,8 +28,9 @@ def upsert_into(path: str, schema: T.StructType, keys: Sequence[str], buckets: i
         spark = batch.sparkSession
         spark.createDataFrame([], stored).write.mode("append").partitionBy("bucket").parquet(path)
         changes = stage(latest_per_key(batch, keys, order).withColumn("bucket", _bucket(keys, buckets)), "changes")
-        touched = changes.select("bucket").distinct()
-        current = spark.read.schema(stored).parquet(path).join(touched, "bucket", "left_semi")
+        # at most ``buckets`` numbers; as literals they prune the folders that are read
+        touched = [r["bucket"] for r in changes.select("bucket").distinct().collect()]
+        current = spark.read.schema(stored).parquet(path).filter(F.col("bucket").isin(touched))
         merged = stage(latest_per_key(current.unionByName(changes), keys, order), "merged")
         (
             spread(merged, ["bucket"])

@@ -64,7 +64,7 @@ def test_tickers_with_dots_and_dashes(spark):
 
 
 def test_many_leading_rows_are_still_cut_before_the_shuffle(spark):
-    out = dedupe.top_per_key(spark.range(10).withColumn("k", F.col("id") % 2), ["k"], 5000, F.col("id").asc())
+    out = dedupe.top_per_key(spark.range(100_000).withColumn("k", F.col("id") % 2), ["k"], 5000, F.col("id").asc())
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
 
 

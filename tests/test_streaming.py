@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.operators import indicators, signals
 from barloom.sources.prices import scratch
-from barloom.streaming import articles, bars, sources, upsert
+from barloom.streaming import articles, bars, partials, sources, upsert
 from barloom.streaming import indicators as running
 
 
@@ -69,3 +69,19 @@ def test_upsert_stream_survives_repeats_and_late_changes(spark):
     write(spark.createDataFrame(batches[2], schema), 2)  # a repeated batch
     got = sorted((r.k, r.v) for r in upsert.read_latest(spark, table, df.schema).collect())
     assert got == [("a", 7), ("c", 6)]
+
+
+def test_late_rows_count_in_any_batch(spark):
+    days = [1, 5, 6, 2, 1, 9]
+    rows = [(i, "A", datetime(2024, 1, d, 3 + i), 10.0 + i, 1, f"https://n.example/{d}?q={i}") for i, d in enumerate(days)]
+    schema = "seq long, ticker string, ts timestamp, price double, quantity long, canonical_url string"
+    source, out, once = (scratch(spark, n) for n in ("late", "late-bars", "late-articles"))
+    for row in rows:
+        df = spark.createDataFrame([row], schema)
+        df.write.mode("append").parquet(source)
+        stream = sources.folder(spark, source, df.schema)
+        partials.start(stream, out, f"{source}-a", lambda batch, _: bars.partial_bars(batch))
+        articles.store_unique(stream, once, f"{source}-b", "ts")
+    got = {r.date.day: (r.open, r.close, r.volume) for r in bars.merged_bars(partials.read(spark, out)).collect()}
+    assert got == {1: (10.0, 14.0, 2), 5: (11.0, 11.0, 1), 6: (12.0, 12.0, 1), 2: (13.0, 13.0, 1), 9: (15.0, 15.0, 1)}
+    assert sorted(r.canonical_url for r in partials.read(spark, once).collect()) == [f"https://n.example/{d}" for d in (1, 2, 5, 6, 9)]
