@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +32,8 @@ ARTICLE_SCHEMA = T.StructType(
 )
 # An item of a feed, and the defaults of an article made from it.
 ITEM_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType()) for c in ("title", "link", "pubDate", "description", "source", "query")]
+    [T.StructField(c, T.StringType()) for c in ("title", "link", "pubDate", "description", "source", "query", "icon")]
+    + [T.StructField(c, T.ArrayType(T.StructType([T.StructField("_url", T.StringType())]))) for c in ("media:thumbnail", "media:content", "enclosure")]
 )
 FEED_SOURCE = "Google News"
 
@@ -49,6 +50,15 @@ def write_articles(df: DataFrame, path: str) -> None:
     write_table(df.select(*known), path, by=["dt"], fmt="json")
 
 
+def item_picture() -> Column:
+    """The picture of a feed item: its thumbnail, else media content, else enclosure, and the icon last."""
+
+    def first(name: str) -> Column:
+        return F.get(F.filter(F.col(f"`{name}`._url"), lambda u: F.trim(u) != ""), 0)
+
+    return F.trim(F.coalesce(first("media:thumbnail"), first("media:content"), first("enclosure"), text.blank_to_null(F.col("icon"))))
+
+
 def read_feeds(spark: SparkSession, path: str) -> DataFrame:
     """Items of feed files (XML): trimmed, with a UTC time. Items without title or link are skipped."""
     raw = spark.read.format("xml").option("rowTag", "item").schema(ITEM_SCHEMA).load(path)
@@ -59,6 +69,7 @@ def read_feeds(spark: SparkSession, path: str) -> DataFrame:
         dates.feed_time(F.col("pubDate")).alias("published_at"),
         text.normal_source(F.col("source")).alias("source"),
         "query",
+        item_picture().alias("image"),
     )
     return items.filter("title <> '' and link <> ''")
 
@@ -77,7 +88,7 @@ def articles_from_items(
         F.lit(None).cast("string").alias("author"),
         "snippet",
         F.lit(None).cast("string").alias("content"),
-        F.lit(None).cast("string").alias("image_url"),
+        (F.col("image") if "image" in once.columns else F.lit(None).cast("string")).alias("image_url"),
         "published_at",
         F.lit(None).cast("double").alias("score"),
         F.lit(None).cast("string").alias("raw"),
