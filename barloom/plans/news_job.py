@@ -76,6 +76,24 @@ def run(spark: SparkSession, path: str, picked: DataFrame, order: str | None = N
     replace(update(spark.read.parquet(path), picked, order), path)
 
 
+def daily_summary(
+    summaries: DataFrame, articles: DataFrame, as_of: int, n: int = news.DIGEST_ARTICLES, hours: int = news.RECENT_HOURS
+) -> DataFrame:
+    """The table of daily summaries (``day``, ``summary``, ...) with the day of ``as_of`` (epoch seconds) written.
+
+    The day's summary is the brief of its candidate articles, up to where a language service would take over; ``article_ids`` is filled
+    where the table has that column. A day without candidates carries the last earlier summary forward; without one it gets no row.
+    """
+    day = F.timestamp_seconds(F.lit(as_of)).cast("date")
+    lines = news.brief(news.summary_candidates(articles, as_of, hours), n)
+    fields = {"day": day, "summary": F.col("text"), "article_ids": F.col("article_ids")}
+    own = lines.select(*[fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in summaries.schema.fields])
+    # one row: the newest of the days before
+    last = summaries.filter(F.col("day") < day).orderBy(F.col("day").desc()).limit(1)
+    carried = last.withColumn("day", day).join(own.select("day"), "day", "left_anti").select(*summaries.columns)
+    return merge.upsert(summaries, own.unionByName(carried), ["day"])
+
+
 def backfill(scored: DataFrame, start: date, end: date, window_days: int = 10, overlap_days: int = 2, n_general: int = 5, n_specific: int = 5) -> DataFrame:
     """Article rows of every overlapping window; an address picked in several windows keeps the row of the last."""
     spread = news.backfill_windows(scored, start, end, window_days, overlap_days)

@@ -424,6 +424,39 @@ def price_asof(spark, sf):
     return asof.backward(bids, logins, "ts", ["user_id"], chunk=F.to_date("ts"))
 
 
+@query(
+    "news_snippets",
+    """
+select doc_id, coalesce(nullif(trim(case when doc_id % 3 = 0 then '' when doc_id % 3 = 1 then substr(text, 1, 20) end), ''),
+                        nullif(case when length(text) > 200 then substr(text, 1, 200) || '…' else text end, ''), '') as shown from documents""",
+)
+def news_snippets(spark, sf):
+    """The snippet, or the start of the content where it is missing or blank."""
+    snippet = F.when(F.col("doc_id") % 3 == 0, "").when(F.col("doc_id") % 3 == 1, F.substring("text", 1, 20))
+    return table(spark, sf, "documents").select("doc_id", text.snippet_or_content(snippet, F.col("text")).alias("shown"))
+
+
+@query(
+    "news_daily_summary",
+    f"""with {ARTICLES}, {DAILY_SUMMARY},
+cand as (
+  select *, cast(make_timestamp(published_ts * 1000000) as date) = date '2024-01-31' as today from fx_articles where published_ts is not null
+  qualify case when max(today::int) over () = 1 then today else published_ts >= {AS_OF_EPOCH} - 36 * 3600 end),
+top as (select *, row_number() over (order by coalesce(published_ts, 0) desc, seq) as r from cand qualify r <= 10),
+own as (
+  select date '2024-01-31' as day, string_agg('- [' || strftime(make_timestamp(published_ts * 1000000), '%Y-%m-%d %H:%M') || '] '
+         || {SQUEEZED.format(c="title")} || ' (' || {SQUEEZED.format(c="source")} || ')', chr(10) order by r) as summary from top),
+days as (select day, summary, sentiment_score from fx_summary where day <> date '2024-01-31' union all select day, summary, null from own)
+select * from days where day <> date '2024-03-05'
+union all select date '2024-03-05', summary, sentiment_score from days where day = (select max(day) from days where day < date '2024-03-05')""",
+)
+def news_daily_summary(spark, sf):
+    """Two runs: a day with articles, and a later one without, which carries the last summary forward."""
+    days, found = daily_summary(spark, sf), articles(spark, sf)
+    first = news_job.daily_summary(days, found, AS_OF_EPOCH)
+    return news_job.daily_summary(first, found, AS_OF_EPOCH + 34 * 86400).select("day", "summary", "sentiment_score")
+
+
 @query(
     "summary_fill",
     f"""with {DAILY_SUMMARY}, {DAYS}
