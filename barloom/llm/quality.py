@@ -106,7 +106,7 @@ def thresholds(sketch: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
     groups = _limits(sketch, ["lang", "source"])
     langs = _limits(sketch, ["lang"]).select(F.col("lang").alias("l"), F.col("total").alias("lang_total"), F.col("limits").alias("lang_limits"))
     every = _limits(sketch.withColumn("every", F.lit(0)), ["every"]).select("every", F.col("limits").alias("all_limits"))
-    joined = groups.withColumn("every", F.lit(0)).join(langs, F.col("lang").eqNullSafe(F.col("l"))).join(every, "every")
+    joined = groups.withColumn("every", F.lit(0)).join(langs, F.col("lang").eqNullSafe(F.col("l"))).join(F.broadcast(every), "every")  # one row
     chosen = F.when(F.col("total") >= least_rows, F.col("limits")).when(F.col("lang_total") >= least_rows, F.col("lang_limits")).otherwise(F.col("all_limits"))
     return joined.select("lang", "source", chosen.alias("limits"))
 

@@ -193,12 +193,15 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     small_batches(docs.sparkSession)
     of_text = F.pandas_udf(lambda texts: texts.map(fingerprint).astype("uint64").astype("int64"), "bigint")
     row = F.struct(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)])
-    keyed = stage(docs.select(row.alias("row"), of_text(F.col(f"`{text_col}`")).alias("fp")), "fingerprints")
-    prints = keyed.select(at_id.alias("id"), "fp")
-    groups = _groups(prints, "id", bucket).select("fp", "root")
-    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("least")
-    chosen = prints.distinct().join(groups, "fp").groupBy("root").agg(least).select(F.col("least.id").alias("id"), F.col("least.fp").alias("first_fp"))
-    kept = keyed.join(chosen, (F.col("fp") == F.col("first_fp")) & at_id.eqNullSafe(F.col("id")), "left_semi")
-    order = Window.partitionBy("fp", at_id).orderBy(at_text, F.xxhash64("row"))
+    # the id as keys without nulls, so that the join and the choice among repeated rows share one shuffle of the rows
+    keys = {"no_id": F.col(f"`{id_col}`").isNull(), "id_key": F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))}
+    columns_ = [row.alias("row"), of_text(F.col(f"`{text_col}`")).alias("fp"), *[c.alias(n) for n, c in keys.items()]]
+    keyed = stage(docs.select(*columns_), "fingerprints")
+    prints = keyed.select(at_id.alias("id"), "fp", *keys)
+    groups = _groups(prints.select("id", "fp"), "id", bucket).select("fp", "root")
+    least = F.min(F.struct("no_id", "id", "fp", "id_key")).alias("least")
+    chosen = prints.distinct().join(groups, "fp").groupBy("root").agg(least).select("least.fp", "least.no_id", "least.id_key")
+    kept = keyed.join(stage(chosen, "chosen"), ["fp", *keys], "left_semi")
+    order = Window.partitionBy("fp", *keys).orderBy(at_text, F.xxhash64("row"))
     one = kept.withColumn("n", F.row_number().over(order)).where("n = 1")
     return one.select(*[F.col(f"row.c{i}").alias(n) for i, n in enumerate(names)])
