@@ -63,7 +63,8 @@ def nearest_in_tile(queries: Block, rows: Block, found: list[list[tuple[float, i
         own = queries.ids[i][0]
         near = np.flatnonzero(low[i] <= limit)
         gap = rows.vectors[near] - queries.vectors[i]
-        for d, j in zip(np.sqrt((gap * gap).sum(axis=1)).tolist(), near.tolist(), strict=True):
+        exact = np.sqrt(np.add.accumulate(gap * gap, axis=1)[:, -1])  # summed from the first component on, as a plain loop does
+        for d, j in zip(exact.tolist(), near.tolist(), strict=True):
             for other in rows.ids[j]:
                 if other == own:
                     continue
