@@ -92,7 +92,7 @@ def op5_nearest_blocks(spark, sf_dir):
 
 ORACLE["op5_nearest_blocks"] = """with v as (select distinct vec_id, [cast(x as double) for x in embedding] as e from embeddings
         where vec_id is not null and len(embedding) > 0 and len([x for x in embedding if x is null or not isfinite(x)]) = 0 and len([x for x in embedding if x != 0]) > 0),
-    pairs as (select q.vec_id as query_id, c.vec_id, list_distance(q.e, c.e) as score from v q join v c on q.vec_id != c.vec_id and len(q.e) = len(c.e) where q.vec_id % 100 = 0)
+    pairs as (select q.vec_id as query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda x, y: x + y)) as score from v q join v c on q.vec_id != c.vec_id and len(q.e) = len(c.e) where q.vec_id % 100 = 0)
     select query_id, cast(rank as int) as rank, vec_id, score
     from (select *, row_number() over (partition by query_id order by score, vec_id) as rank from pairs) where rank <= 10"""
 
