@@ -71,11 +71,14 @@ class Page:
         self.pieces: list[tuple[int, int, str]] = []  # (node, number of the run of inline text, text)
         stack: list[tuple[str, int]] = [("html", 0)]
         open_at: dict[str, list[int]] = {"html": [0]}
+        blocks = [0]  # places of open block elements
         run = 0
 
         def end(place: int) -> None:
             while len(stack) > place:
                 open_at[stack.pop()[0]].pop()
+            while blocks[-1] >= place:
+                blocks.pop()
 
         def last(tags) -> int:
             return max((open_at[t][-1] for t in tags if open_at.get(t)), default=-1)
@@ -108,7 +111,7 @@ class Page:
                     run += 1
                     if place > 0:
                         end(place)
-                elif place > 0 and place > last(t for t in open_at if t in TAG_GROUP):
+                elif place > blocks[-1]:
                     end(place)
                 continue
             if name in RAW:
@@ -144,6 +147,8 @@ class Page:
                 node = stack[-1][1]
             if name not in VOID and not attributes.endswith("/"):
                 open_at.setdefault(name, []).append(len(stack))
+                if block:
+                    blocks.append(len(stack))
                 stack.append((name, node))
         self.length = max(1, len(source))
 
