@@ -101,7 +101,8 @@ def metrics(trades: DataFrame, ends: DataFrame, keys: Sequence[str], cases: dict
         ["entry_date", "trade_no"],
         {"_equity": product(1 + F.col("_gain"))},
     )
-    peaked = running(grown, group, ["entry_date", "trade_no"], {"_peak": peak(F.col("_equity"))})
+    # a scan reads its input twice, so what it reads is written first
+    peaked = running(stage(grown, "grown"), group, ["entry_date", "trade_no"], {"_peak": peak(F.col("_equity"))})
     top = F.greatest("_peak", F.lit(1.0))  # the curve starts at 1
     summary = peaked.groupBy(*group).agg(
         F.count(F.lit(1)).alias("num_trades"),
@@ -147,6 +148,7 @@ def equity_curve(trades: DataFrame, ends: DataFrame, keys: Sequence[str], cases:
             "_was": latest(F.col("exit_date")).before(),
         },
     ).join(span, list(keys))
+    grown = stage(grown, "grown")
     was = F.coalesce("_was", "start_date")
     eve = F.date_sub("exit_date", 1)
     point = lambda part, day, value: F.struct(F.lit(part).alias("part"), day.alias("date"), value.alias("value"))
@@ -181,7 +183,7 @@ def equity_curve(trades: DataFrame, ends: DataFrame, keys: Sequence[str], cases:
         F.explode(F.sequence("start_date", "last_date", F.expr("interval 1 day"))).alias("date"),
         F.lit(1.0).alias("value"),
     )
-    points = opening.unionByName(steps).unionByName(closing).unionByName(flat)
+    points = stage(opening.unionByName(steps).unionByName(closing).unionByName(flat), "points")
     numbered = running(points, group, ["date", "trade_no", "part"], {"_no": total(F.lit(1))})
     return numbered.select(*group, (F.col("_no") - 1).alias("step_no"), "date", "value")
 
@@ -212,7 +214,7 @@ class Evaluation:
         cases: dict[str, float] = CASES,
     ):
         self.cases = cases
-        spread = timeframes.fan_out(bars.select("ticker", "date", "close").dropna(), names)
+        spread = stage(timeframes.fan_out(bars.select("ticker", "date", "close").dropna(), names), "spread")
         flagged = indicators.add(spread, *signals.mean_reversion(rule), keys=self.KEYS)
         self.flagged = stage(
             flagged.select("timeframe", "ticker", "start_date", "date", "close", "buy_signal", "sell_signal"), "flagged"
