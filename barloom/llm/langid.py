@@ -18,6 +18,11 @@ SAMPLE_ROWS = 500
 #: Most code lengths (contexts x bytes x languages) that an order of the trees keeps, the most frequent contexts first; a dropped context
 #: scores as its suffix.
 MAX_CELLS = 4_000_000
+#: A text of a language may have as many bits a byte as the median of its learned rows plus WIDE times the distance from there to their upper
+#: quartile, at least LEAST_BITS, and SPARE_BITS in all, about ten bytes that the language does not have, so that no text is told by one odd word.
+WIDE, LEAST_BITS, SPARE_BITS = 4, 2.0, 128
+#: Buckets a bit in the sketches of code lengths, and bytes for which such a length keeps to one language.
+STEPS, WINDOW = 50, 64
 UNKNOWN = "und"
 _OTHER = re.compile(r"[\W\d_]+")
 
@@ -37,30 +42,46 @@ def is_held_out(id_column: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(id_column.cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
-def count(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample_rows: int) -> list[tuple[str, int, int]]:
-    """(language, gram, occurrences) over a sample of the labelled rows that are not held out.
+def half_of(text: Column) -> Column:
+    """0 or 1 by the text, so that copies lie in the same half."""
+    return F.pmod(F.xxhash64(text, F.lit(13)), F.lit(2))
 
-    Rows are taken by a hash of the id, each language at the rate that gives ``sample_rows`` rows on average, whole texts each.
-    """
+
+def _learnable(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     rows = columns(docs, id_col, text_col, lang_col).toDF("id", "text", "lang")
     rows = rows.where("lang is not null and text is not null and id is not null").where(~is_held_out(F.col("id")))
+    return rows.withColumn("half", half_of(F.col("text")))
+
+
+Counts = list[tuple[str, int, int]]
+
+
+def count(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample_rows: int) -> tuple[Counts, Counts]:
+    """(language, gram, occurrences) over a sample of the labelled rows that are not held out, for each half of the texts.
+
+    Rows are taken by a hash of the id, each language at the rate that gives ``sample_rows`` rows on average, whole texts each.
+    """
+    rows = _learnable(docs, id_col, text_col, lang_col)
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return []
+        return [], []
     rate = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, sample_rows / n)])[F.col("lang")]
-    sample = rows.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 20)) < rate * (1 << 20)).select("lang", "text")
+    sample = rows.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 20)) < rate * (1 << 20)).select("half", "lang", "text")
 
     def run(batches):
         for batch in batches:
-            by_lang: dict[str, list[np.ndarray]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                by_lang.setdefault(lang, []).append(grams(letters(text)))
-            for lang, parts in by_lang.items():
+            by_lang: dict[tuple[int, str], list[np.ndarray]] = {}
+            for half, lang, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                by_lang.setdefault((half, lang), []).append(grams(letters(text)))
+            for (half, lang), parts in by_lang.items():
                 found, n = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found)), pa.array(found), pa.array(n)], ["lang", "gram", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([half] * len(found)), pa.array([lang] * len(found)), pa.array(found), pa.array(n)], ["half", "lang", "gram", "n"])
 
-    counted = map_batches(sample, run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    return [tuple(r) for r in counted.collect()]
+    counted = map_batches(sample, run, "half bigint, lang string, gram bigint, n bigint").groupBy("half", "lang", "gram").agg(F.sum("n").alias("n"))
+    halves: tuple[Counts, Counts] = ([], [])
+    for half, *one in counted.collect():
+        halves[half].append(tuple(one))
+    return halves
 
 
 class Trees:
@@ -132,6 +153,19 @@ class Trees:
             total += self.bits[context * size + s[3:]].sum(axis=0, dtype=np.float64)
         return total
 
+    def switching(self, text: bytes) -> float:
+        """The code length, in bits, of a text whose every ``WINDOW`` bytes are coded in the language that suits them best: a text of several
+        learned languages is as short as one of a single language. The choice itself costs the bits of the number of languages."""
+        total = 0.0
+        padded = self.symbol[np.frombuffer(b"   " + text, dtype=np.uint8)]
+        size = self.size
+        for begin in range(0, len(text), CHUNK):
+            s = padded[begin : begin + CHUNK + 3]
+            context = self.ids[(s[:-3] * size + s[1:-2]) * size + s[2:-1]]
+            sums = np.add.reduceat(self.bits[context * size + s[3:]], np.arange(0, len(context), WINDOW), axis=0)
+            total += float(sums.min(axis=1).sum(dtype=np.float64)) + len(sums) * np.log2(len(self.langs))
+        return total
+
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language of the shortest code and its share of the languages' probabilities; a tie goes to the first by name."""
         form = letters(text)
@@ -158,7 +192,7 @@ def predict(
     A null text, one without a letter, and any text when no row is labelled get ``und`` and score 0. A null id is not held out and not
     learned from. Repeated rows each return their row. An empty table gives no rows. Other columns are not read.
     """
-    counts = count(docs, id_col, text_col, lang_col, sample_rows)
+    counts = sum(count(docs, id_col, text_col, lang_col, sample_rows), [])
     kind = docs.schema[id_col].dataType.simpleString()
     shared, key = docs.sparkSession.sparkContext.broadcast(counts), uuid.uuid4().hex
     rows = docs.select(F.col(f"`{id_col}`"), is_held_out(F.col(f"`{id_col}`")).alias("held_out"), F.col(f"`{text_col}`").alias("text"))
@@ -175,18 +209,74 @@ def predict(
     return map_batches(rows, run, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double")
 
 
+class Fit:
+    """The trees of all counts, which tell the language, and those of each half, which measure texts of the other half: a text that was learned
+    would find its own bytes in the trees, however odd it is."""
+
+    def __init__(self, halves: tuple[Counts, Counts], max_cells: int):
+        self.whole = Trees(halves[0] + halves[1], max_cells)
+        self.others = [Trees(halves[1], max_cells), Trees(halves[0], max_cells)]
+
+    def bits(self, form: bytes, half: int) -> float:
+        """The switching code length of letters, by the whole trees where the other half lacks a language."""
+        trees = self.others[half] if self.others[half].langs == self.whole.langs else self.whole
+        return trees.switching(form)
+
+
+def bits_a_byte(sketch: list[tuple[str, int, int]]) -> dict[str, float]:
+    """The limit of each language, from (language, bucket, rows)."""
+    by_lang: dict[str, list[tuple[int, int]]] = {}
+    for lang, bucket, n in sketch:
+        by_lang.setdefault(lang, []).append((bucket, n))
+    found = {}
+    for lang, parts in by_lang.items():
+        buckets, n = np.array(sorted(parts)).T
+        middle, upper = ((buckets[np.searchsorted(n.cumsum(), share * n.sum())] + 1) / STEPS for share in (0.5, 0.75))
+        found[lang] = float(middle + max(LEAST_BITS, WIDE * (upper - middle)))
+    return found
+
+
 def keep_known(docs: DataFrame, min_score: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
-    """The rows of ``docs`` whose text has letters and a language of at least ``min_score``; columns stay as they are.
+    """The rows of ``docs`` whose text has letters, a language of at least ``min_score``, and a code length within the limit of the language;
+    columns stay as they are.
+
+    The score only compares the languages that were learned, so gibberish and other languages have a high one too. The code length tells
+    them: its limit comes from a sketch, counts per bucket, of the bits a byte of all labelled rows of the language that are not held out.
 
     Scoring is part of the pass over the rows, so that repeated and null ids need no key. The trees learn as in :func:`predict`.
     """
-    counts = count(docs, id_col, text_col, lang_col, options.get("sample_rows", SAMPLE_ROWS))
-    shared, key = docs.sparkSession.sparkContext.broadcast(counts), uuid.uuid4().hex
+    halves = count(docs, id_col, text_col, lang_col, options.get("sample_rows", SAMPLE_ROWS))
+    shared, key = docs.sparkSession.sparkContext.broadcast(halves), uuid.uuid4().hex
     max_cells = options.get("max_cells", MAX_CELLS)
 
-    @F.pandas_udf("double")
-    def score(texts):
-        trees = per_worker(("trees", key), lambda: Trees(shared.value, max_cells))
-        return texts.map(lambda t: trees.predict(t)[1]).astype("float64")
+    def measured(batches):
+        fit = per_worker(("fit", key), lambda: Fit(shared.value, max_cells))
+        for batch in batches:
+            found: dict[tuple[str, int], int] = {}
+            for half, lang, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                form = letters(text)
+                if form.strip() and fit.whole.langs:
+                    at = lang, int(fit.bits(form, half) / len(form) * STEPS)
+                    found[at] = found.get(at, 0) + 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a[0] for a in found], pa.string()), pa.array([a[1] for a in found], pa.int64()), pa.array(list(found.values()), pa.int64())], ["lang", "bucket", "n"]
+            )
+
+    rows = _learnable(docs, id_col, text_col, lang_col).select("half", "lang", "text")
+    sketch = map_batches(rows, measured, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    limits = bits_a_byte([tuple(r) for r in sketch.collect()])
+
+    def known(text: str | None, half: int) -> bool:
+        fit = per_worker(("fit", key), lambda: Fit(shared.value, max_cells))
+        lang, score = fit.whole.predict(text)
+        if score < min_score or lang == UNKNOWN:
+            return score >= min_score
+        form = letters(text)
+        return lang not in limits or fit.bits(form, half) <= limits[lang] * len(form) + SPARE_BITS
+
+    @F.pandas_udf("boolean")
+    def keeps(texts, halves):
+        return texts.combine(halves, known).astype("bool")
 
-    return docs.where(score(F.col(f"`{text_col}`")) >= min_score)
+    text = F.col(f"`{text_col}`")
+    return docs.where(keeps(text, half_of(text)))

@@ -19,7 +19,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters whose language is told with a score of at least a half; the trees learn from this stage's input."""
+    """Documents with letters whose language is told with a score of at least a half and whose code length is one of that language; the trees
+    learn from this stage's input."""
     return langid.keep_known(docs)
 
 

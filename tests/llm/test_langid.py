@@ -1,5 +1,6 @@
 """Code lengths against a plain recursion, and accuracy on held-out documents."""
 
+import base64
 import math
 import random
 import zlib
@@ -82,6 +83,27 @@ def test_table(spark):
     assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in got if r["lang_pred"] != "und"}
 
 
+def test_other_texts_are_dropped(spark):
+    rng = random.Random(5)
+    clean = [(i, text_of(lang, rng), lang) for i, lang in enumerate(list(WORDS) * 60)]
+    clean += [(900 + i, f"{text_of('en', rng)}. {text_of('el', rng)}!", lang) for i, lang in enumerate(["en", None, "el"])]
+    clean += [(910, "und die", "de"), (911, "the and of", None)]
+    gibberish = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9))) for _ in range(60)) for _ in range(6)]
+    encoded = [base64.b64encode(rng.randbytes(300)).decode() for _ in range(6)]
+    italian = "nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura che la diritta via era smarrita"
+    scripts = ["".join(chr(rng.randint(first, first + 30)) + " " * (rng.random() < 0.2) for _ in range(200)) for first in (0x4E00, 0x430)]
+    planted = [(1000 + i, t, [None, "en", "de"][i % 3]) for i, t in enumerate([*gibberish, *encoded, italian, *scripts])]
+    docs = spark.createDataFrame(clean + planted, "doc_id bigint, text string, lang string")
+    scores = {r["doc_id"]: r["score"] for r in langid.predict(docs).collect()}
+    assert min(scores[i] for i, _, _ in planted) > 0.5  # the score alone tells none of them
+    assert sorted(r["doc_id"] for r in langid.keep_known(docs).collect()) == sorted(i for i, _, _ in clean)
+
+
+def test_limits():
+    assert langid.bits_a_byte([("a", 99, 10), ("b", 99, 6), ("b", 199, 1), ("b", 999, 1)]) == {"a": 4.0, "b": 4.0}
+    assert langid.bits_a_byte([("a", 99, 5), ("a", 199, 5)]) == {"a": 10.0}
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "words here", None)], "doc_id bigint, text string, lang string")
     assert [tuple(r) for r in langid.predict(docs).collect()] == [(1, False, "und", 0.0)]
