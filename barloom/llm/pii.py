@@ -8,6 +8,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ KINDS = ("email", "ip", "card", "phone")
 EMAIL, IP, CARD, PHONE = range(4)
 #: Documents, on average, that the trees are fitted on, and the share of selected spans that must be right on rows kept from the fit.
 SAMPLE_ROWS, PRECISION = 6000, 0.995
+#: Most base spans, and other spans, of a document in the fit; spans that are scored at a time.
+SAMPLE_SPANS, SCORED = 20, 20_000
 
 #: fixed values: the base patterns. Digits are matched from their first digit on, so long runs are read once.
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -32,7 +35,6 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOOSE_MAIL = re.compile(r"[\w.+-]{1,64} ?(?:@|[\[(<{] ?(?:at|AT) ?[\])>}]) ?[\w-]{1,63}(?: ?(?:\.|[\[({] ?(?:dot|DOT) ?[\])}]) ?[\w-]{2,63}){1,4}")
 _LOOSE_IP = re.compile(r"(?<![0-9])[0-9]{1,3}(?:(?:\.|\[\.\]|\(\.\))[0-9]{1,3}){3}(?![0-9])")
 _NUMBER = re.compile(r"(?<![0-9A-Za-z])[+(]?[0-9](?:[ ().\-/]{0,2}[0-9])+")
-_RUN = re.compile(r"[0-9](?:[ -]?[0-9]){12,18}(?![0-9])")
 _DIGITS = re.compile(r"[0-9]+")
 _HINTS = [
     re.compile(p, re.IGNORECASE)
@@ -86,20 +88,25 @@ def proposals(text: str) -> Iterator[tuple[int, int, int]]:
     for m in _LOOSE_IP.finditer(text):
         yield IP, *m.span()
     for m in _NUMBER.finditer(text):
-        start, end = m.span()
-        if end - start < 7:
-            continue
-        digits = len(only_digits(m.group()))
-        if 7 <= digits <= 15:
-            yield PHONE, start, end
-        for at in _DIGITS.finditer(text, start, end):
-            if at.start() > start and text[at.start() - 1] not in " -":
-                continue
-            run = _RUN.match(text, at.start(), end)
-            if run:
-                yield CARD, *run.span()
-            if at.end() - at.start() >= 13:
-                yield CARD, *at.span()
+        if m.end() - m.start() >= 7:
+            yield from _numbers(text, *m.span())
+
+
+def _numbers(text: str, start: int, end: int) -> Iterator[tuple[int, int, int]]:
+    """From every group of digits of a run, with a + or ( before it, every end of a group with as many digits as a phone number or card has;
+    the digits bound what a start proposes."""
+    groups = [g.span() for g in _DIGITS.finditer(text, start, end)]
+    for i, (at, _) in enumerate(groups):
+        first = at - 1 if at > start and text[at - 1] in "+(" else at
+        digits = 0
+        for a, b in groups[i:]:
+            digits += b - a
+            if digits > 19:
+                break
+            if 7 <= digits <= 15:
+                yield PHONE, first, b
+            if digits >= 13:
+                yield CARD, at, b
 
 
 def _kind_of(char: str) -> int:
@@ -135,42 +142,58 @@ def features(text: str, kind: int, start: int, end: int) -> list[float]:
         _kind_of(after[:1]),
         before[-1:] in "=\"'#:.",
         after[:1] in ".-/" and after[1:2].isdigit(),
+        span.count("(") - span.count(")"),
+        before[-1:] in ".-/" and before[-2:-1].isdigit(),
+        len(set(_DIGITS.sub("", span))),
+        groups[0] if groups else 0,
         *[bool(h.search(before)) for h in _HINTS],
     ]
 
 
-def _variants(kind: int, span: str, rng: random.Random) -> Iterator[tuple[str, bool]]:
-    """Other ways to write a base span, and lookalikes that are none: (text, is personal data)."""
+def _variants(kind: int, span: str, rng: random.Random) -> Iterator[tuple[str, list[str]]]:
+    """Other ways to write a base span, and lookalikes: (text, the parts of it, in order, that are personal data)."""
     digits = only_digits(span)
     if kind == EMAIL:
         name, _, domain = span.partition("@")
-        yield f"{name} (at) {domain}", True
-        yield f"{name}[at]{domain.replace('.', '[dot]')}", True
-        yield f"{name} @ {domain}", True
-        yield f"@{name} @{domain.split('.')[0]}", False
-        yield f"{name}@{rng.randint(10, 99)}.{rng.randint(10, 99)}", False
+        for written in (f"{name} (at) {domain}", f"{name}[at]{domain.replace('.', '[dot]')}", f"{name} @ {domain}"):
+            yield written, [written]
+        yield f"@{name} @{domain.split('.')[0]}", []
+        yield f"{name}@{rng.randint(10, 99)}.{rng.randint(10, 99)}", []
     elif kind == IP:
         a, b, c, d = span.split(".")
-        yield f"{a}[.]{b}[.]{c}[.]{d}", True
-        yield f"{a}.{b}.{c}.{256 + int(d)}", False
-        yield f"v{a}.{b}.{c}.{d}.{rng.randint(0, 9)}", False
-        yield f"0{a}.0{b}.00.{d}", False
+        yield f"{a}[.]{b}[.]{c}[.]{d}", [f"{a}[.]{b}[.]{c}[.]{d}"]
+        yield f"{a}.{b}.{c}.{256 + int(d)}", []
+        yield f"v{a}.{b}.{c}.{d}.{rng.randint(0, 9)}", []
+        yield f"0{a}.0{b}.00.{d}", []
     elif kind == CARD:
         wrong = digits[:-1] + str((int(digits[-1]) + rng.randint(1, 9)) % 10)
-        yield f"{digits} {digits}", True
-        yield f"{digits[:4]}-{digits[4:8]}-{digits[8:12]}-{digits[12:]} {rng.randint(100, 999)}", True
-        yield wrong, False
-        yield f"{wrong[:4]} {wrong[4:8]} {wrong[8:12]} {wrong[12:]}", False
-        yield f"{wrong} {digits[::-1]}7", False
+        spaced, dashed = (sep.join((digits[:4], digits[4:8], digits[8:12], digits[12:])) for sep in " -")
+        yield f"{digits} {digits}", [digits, digits]
+        yield f"{dashed} {rng.randint(100, 999)}", [dashed]
+        yield f"{spaced} {rng.randint(100, 999)}", [spaced]
+        yield f"{spaced} {rng.randint(1, 12):02}/{rng.randint(24, 35)}", [spaced]
+        yield f"{digits} {rng.randint(1, 12):02}/{rng.randint(24, 35)} {rng.randint(100, 999)}", [digits]
+        yield wrong, []
+        yield f"{wrong[:4]} {wrong[4:8]} {wrong[8:12]} {wrong[12:]}", []
+        yield f"{wrong} {digits[::-1]}7", []
     else:
         local = digits[-10:]
-        yield f"({local[:3]}) {local[3:6]}-{local[6:]}", True
-        yield f"{local[:3]}-{local[3:6]}-{local[6:]}", True
-        yield f"tel {local[:3]}.{local[3:6]}.{local[6:]}", True
-        yield f"order {local}", False
-        yield f"20{local[:2]}-0{local[3]}-1{local[4]} 10.2{local[5]}", False
-        yield f"isbn 978-{local[:1]}-{local[1:5]}-{local[5:9]}-{local[9:]}", False
-        yield local + digits[:2], False
+        round_, dashed, dotted = f"({local[:3]}) {local[3:6]}-{local[6:]}", f"{local[:3]}-{local[3:6]}-{local[6:]}", f"{local[:3]}.{local[3:6]}.{local[6:]}"
+        date = f"20{rng.randint(10, 29)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}"
+        other = f"{local[:6]}{rng.randint(1000, 9999)}"
+        round_other, dashed_other = f"({other[:3]}) {other[3:6]}-{other[6:]}", f"{other[:3]}-{other[3:6]}-{other[6:]}"
+        yield round_, [round_]
+        yield dashed, [dashed]
+        yield f"tel {dotted}", [dotted]
+        yield f"{round_} {round_other}", [round_, round_other]
+        yield f"{dashed} {dashed_other}", [dashed, dashed_other]
+        yield f"{dashed} {date}", [dashed]
+        yield f"{date} {round_}", [round_]
+        yield f"order {local}", []
+        yield f"{date} 10.2{local[5]}", []
+        yield f"20{local[:2]}-0{local[3]}-1{local[4]} 10.2{local[5]}", []
+        yield f"isbn 978-{local[:1]}-{local[1:5]}-{local[5:9]}-{local[9:]}", []
+        yield local + digits[:2], []
 
 
 def _joined(by_kind: list[list[tuple[int, int]]]) -> list[tuple[int, int]]:
@@ -190,57 +213,97 @@ def _overlaps(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
     return at >= 0 and spans[at][1] > start
 
 
-def examples(text: str) -> Iterator[tuple[list[float], int]]:
-    """Labelled spans of a text: base spans and their other ways of writing are personal data; lookalikes and what else the generators
-    propose away from base spans are not."""
+def examples(text: str) -> Iterator[tuple[list[float], int, int, int, int]]:
+    """Labelled spans of a text, (features, label, group, start, end); spans of a group are proposed for the same text.
+
+    Base spans and their other ways of writing are personal data; lookalikes, other cuts of either and what else the generators propose away
+    from base spans are not.
+    """
     base = base_spans(text)
     every = _joined(base)
     rng = random.Random(zlib.crc32(text.encode()))
-    for kind, spans in enumerate(base):
-        for start, end in spans:
-            yield features(text, kind, start, end), 1
-            before, after = text[max(0, start - 60) : start], text[end : end + 60]
-            for written, private in _variants(kind, text[start:end], rng):
-                changed, s, e = before + written + after, len(before), len(before) + len(written)
-                for k, a, b in proposals(changed):
-                    if a < e and s < b:
-                        right = private and k == kind and s <= a and b <= e and (kind != CARD or luhn(only_digits(changed[a:b])))
-                        yield features(changed, k, a, b), int(right)
-    for k, a, b in proposals(text):
-        if not _overlaps(a, b, every):
-            yield features(text, k, a, b), 0
+    named = [(kind, *span) for kind, spans in enumerate(base) for span in spans]
+    group = 0
+    for kind, start, end in named if len(named) <= SAMPLE_SPANS else sorted(rng.sample(named, SAMPLE_SPANS)):
+        group += 1
+        yield features(text, kind, start, end), 1, group, start, end
+        before, after = text[max(0, start - 60) : start], text[end : end + 60]
+        for written, parts in _variants(kind, text[start:end], rng):
+            group += 1
+            changed, s, e = before + written + after, len(before), len(before) + len(written)
+            true, at = set(), s
+            for part in parts:
+                a = changed.index(part, at)
+                at = a + len(part)
+                true.add((kind, a, at))
+            for k, a, b in proposals(changed):
+                if a < e and s < b:
+                    yield features(changed, k, a, b), int((k, a, b) in true), group, a, b
+    group += 1
+    for k, a, b in _sampled((p for p in proposals(text) if not _overlaps(p[1], p[2], every)), rng):
+        yield features(text, k, a, b), 0, group, a, b
+
+
+def _sampled(spans: Iterator[tuple[int, int, int]], rng: random.Random) -> list[tuple[int, int, int]]:
+    """``SAMPLE_SPANS`` of the spans, each as likely as another."""
+    held: list[tuple[int, int, int]] = []
+    for i, span in enumerate(spans):
+        if i < SAMPLE_SPANS:
+            held.append(span)
+        elif (at := rng.randint(0, i)) < SAMPLE_SPANS:
+            held[at] = span
+    return held
 
 
 def fit(docs: DataFrame, id_col: str, text_col: str, sample_rows: int = SAMPLE_ROWS, precision: float = PRECISION) -> tuple[boosting.Booster, float]:
     """Trees fitted on the labelled spans of a hash sample of ``sample_rows`` documents on average, and their calibrated threshold.
 
-    A third of the sampled documents is kept from the fit; on it, the threshold is the least score with the asked precision.
+    A third of the sampled documents is kept from the fit; on it, the threshold is the least score with the asked precision, over the
+    spans that stay when of overlapping ones the best is taken.
     """
     rows = docs.select(F.xxhash64(F.col(f"`{id_col}`"), F.lit(3)).alias("h"), F.col(f"`{text_col}`").alias("text"))
     rate = min(1.0, sample_rows / max(1, docs.count()))
     sample = rows.where(F.pmod("h", F.lit(1 << 20)) <= int(rate * (1 << 20))).where("text is not null")
+    names = ["h", "y", "g", "s", "e"]
 
     def run(batches):
         for batch in batches:
-            made = [(h % 3, y, f) for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for f, y in examples(text)]
+            made = [(h, y, g, s, e, f) for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for f, y, g, s, e in examples(text)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.int64()), pa.array([[float(v) for v in m[2]] for m in made], pa.list_(pa.float64()))],
-                ["fold", "y", "x"],
+                [*[pa.array([m[i] for m in made], pa.int64()) for i in range(5)], pa.array([[float(v) for v in m[5]] for m in made], pa.list_(pa.float64()))], [*names, "x"]
             )
 
-    found = sorted(map(tuple, map_batches(sample, run, "fold bigint, y bigint, x array<double>").collect()))
-    if not found:
+    found = map_batches(sample, run, "h bigint, y bigint, g bigint, s bigint, e bigint, x array<double>").toArrow()
+    if not found.num_rows:
         return boosting.Booster(-20.0, 0.0, []), 1.01
-    fold, y, x = np.array([r[0] for r in found]), np.array([r[1] for r in found], float), np.array([r[2] for r in found])
-    model = boosting.fit(x[fold != 2], y[fold != 2])
-    return model, boosting.threshold(model.predict(x[fold == 2]), y[fold == 2], precision)
-
-
-def chosen(text: str, base: list[list[tuple[int, int]]], spans: list[tuple[int, int, int]], scores: np.ndarray, limit: float) -> list[list[tuple[int, int]]]:
-    """Base spans plus the proposals at or over the threshold, the best first, that overlap none before them."""
+    h, y, g, s, e = (found[n].to_numpy() for n in names)
+    x = found["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(h), -1)
+    order = np.lexsort((*x.T, y, e, s, g, h))  # the same rows in the same order, however they arrive
+    h, y, g, s, e, x = h[order], y[order].astype(float), g[order], s[order], e[order], x[order]
+    kept = h % 3 == 2
+    model = boosting.fit(x[~kept], y[~kept])
+    p = model.predict(x[kept])
+    best = _best(p, h[kept], g[kept], s[kept], e[kept])
+    return model, boosting.threshold(p[best], y[kept][best], precision)
+
+
+def _best(scores: np.ndarray, h: np.ndarray, g: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """The spans that overlap none of a better score in their group, as :func:`chosen` takes them."""
+    taken: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    out = []
+    for i in np.lexsort((s, s - e, -scores)).tolist():
+        own = taken.setdefault((h[i], g[i]), [])
+        if not _overlaps(s[i], e[i], own):
+            insort(own, (s[i], e[i]))
+            out.append(i)
+    return np.array(out, np.int64)
+
+
+def chosen(base: list[list[tuple[int, int]]], spans: list[tuple[int, int, int]], scores: list[float]) -> list[list[tuple[int, int]]]:
+    """Base spans plus the proposals, the best first, that overlap none before them."""
     out = [list(s) for s in base]
     taken = _joined(base)
-    for i in sorted(np.flatnonzero(scores >= limit).tolist(), key=lambda i: (-scores[i], spans[i][0] - spans[i][1], spans[i])):
+    for i in sorted(range(len(spans)), key=lambda i: (-scores[i], spans[i][1] - spans[i][2], spans[i])):
         kind, start, end = spans[i]
         if not _overlaps(start, end, taken):
             out[kind].append((start, end))
@@ -272,22 +335,15 @@ def find(
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             base = [base_spans(t) for t in texts]
-            owner, spans, rows = [], [], []
-            for i, text in enumerate(texts):
-                near = _joined(base[i])
-                for span in set(proposals(text)):
-                    if not _overlaps(span[1], span[2], near):
-                        owner.append(i)
-                        spans.append(span)
-                        rows.append(features(text, *span))
-            scores = model.predict(np.array(rows, float)) if rows else np.zeros(0)
-            held: dict[int, list[int]] = {}
-            for j, i in enumerate(owner):
-                held.setdefault(i, []).append(j)
+            held: dict[int, list[tuple[tuple[int, int, int], float]]] = {}
+            near = ((i, span) for i, t in enumerate(texts) for taken in [_joined(base[i])] for span in proposals(t) if not _overlaps(span[1], span[2], taken))
+            while part := list(islice(near, SCORED)):  # what is under the threshold is not held
+                scores = model.predict(np.array([features(texts[i], *span) for i, span in part], float))
+                for at in np.flatnonzero(scores >= limit).tolist():
+                    held.setdefault(part[at][0], []).append((part[at][1], float(scores[at])))
             out = []
             for i, text in enumerate(texts):
-                at = held.get(i, [])
-                every = chosen(text, base[i], [spans[j] for j in at], scores[at], limit) if at else base[i]
+                every = chosen(base[i], *map(list, zip(*held[i], strict=True))) if i in held else base[i]
                 row = [*map(len, base[i]), hashlib.sha256(_named(base[i]).encode()).hexdigest(), _named(every)]
                 if redacted:
                     clean, end = [], 0

@@ -69,6 +69,34 @@ def test_table(spark):
     assert by[1702]["redacted"] == "the and of [card] [card] ther ing" and by[1700]["redacted"] == ""
 
 
+
+NUMBERS = [
+    ("call (415) 555-2671 (415) 555-2672 today", ["phone:5:19", "phone:20:34"]),
+    ("tel 415-555-2671 2024-01-05 ok", ["phone:4:16"]),
+    ("pay 4111 1111 1111 1111 123 now", ["card:4:23"]),
+    ("card 4111 1111 1111 1111 12/27 now", ["card:5:24"]),
+]
+
+
+def test_number_proposals():
+    for text, want in NUMBERS:
+        assert set(want) <= {f"{pii.KINDS[k]}:{s}:{e}" for k, s, e in pii.proposals(text)}, text
+    for text in ("1 2 3 4 5 6 7 8 9 0 " * 5000, "1" * 100_000, "(1) " * 20_000, "12-34/" * 20_000):
+        found = list(pii.proposals(text))
+        assert len(found) == len(set(found)) <= 20 * len(text)
+
+
+def test_numbers_are_found(spark):
+    rng = random.Random(8)
+    rows = [(i, document(rng, i)) for i in range(1500)]
+    planted = [(2000 + i, f"the and of {text} ther ing", want) for i, (text, want) in enumerate(NUMBERS)]
+    docs = spark.createDataFrame(rows + [p[:2] for p in planted], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.find(docs).where("doc_id >= 2000").collect()}
+    for i, text, want in planted:
+        moved = [f"{k}:{int(s) + 11}:{int(e) + 11}" for k, s, e in (w.split(":") for w in want)]
+        assert got[i].split(",") == moved, (text, got[i])
+
+
 def test_trees():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(3000, 5))
