@@ -36,6 +36,7 @@ _LOOSE_MAIL = re.compile(r"[\w.+-]{1,64} ?(?:@|[\[(<{] ?(?:at|AT) ?[\])>}]) ?[\w
 _LOOSE_IP = re.compile(r"(?<![0-9])[0-9]{1,3}(?:(?:\.|\[\.\]|\(\.\))[0-9]{1,3}){3}(?![0-9])")
 _NUMBER = re.compile(r"(?<![0-9A-Za-z])[+(]?[0-9](?:[ ().\-/]{0,2}[0-9])+")
 _DIGITS = re.compile(r"[0-9]+")
+_DATE = re.compile(r"(?<![0-9])(?:(?:19|20)[0-9]{2}[-./][01]?[0-9][-./][0-3]?[0-9]|[0-3]?[0-9][-./][01]?[0-9][-./](?:19|20)[0-9]{2})(?![0-9])")
 _HINTS = [
     re.compile(p, re.IGNORECASE)
     for p in (r"mail|contact|write", r"\bip\b|host|server|addr", r"card|visa|credit|pay", r"phone|tel|call|fax|mobile|cell", r"\bid\b|order|isbn|ref|invoice|serial|no\.|version|\bv\b|total|date")
@@ -213,11 +214,26 @@ def _overlaps(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
     return at >= 0 and spans[at][1] > start
 
 
+def impossible(text: str, kind: int, start: int, end: int) -> bool:
+    """Whether a proposal cannot be personal data of its kind, whatever the text is about."""
+    span = text[start:end]
+    if kind == EMAIL:
+        last = re.split(r"[^\w]+", span)[-1]
+        return not last.isalpha() or len(last) < 2
+    if kind == IP:
+        return any(int(p) > 255 or str(int(p)) != p for p in _DIGITS.findall(span))
+    if text[start - 1 : start].isalnum() or text[end : end + 1].isalnum():
+        return True  # part of a word
+    if kind == CARD:
+        return not luhn(only_digits(span))
+    return span.count("(") != span.count(")") or bool(_DATE.search(span)) or len(_DIGITS.findall(span)) > 7
+
+
 def examples(text: str) -> Iterator[tuple[list[float], int, int, int, int]]:
     """Labelled spans of a text, (features, label, group, start, end); spans of a group are proposed for the same text.
 
-    Base spans and their other ways of writing are personal data; lookalikes, other cuts of either and what else the generators propose away
-    from base spans are not.
+    Base spans and their other ways of writing are personal data; lookalikes and other cuts of either are not. Of what else the generators
+    propose away from base spans, the impossible is not; the rest may be personal data that the base patterns miss, and has no label.
     """
     base = base_spans(text)
     every = _joined(base)
@@ -240,7 +256,7 @@ def examples(text: str) -> Iterator[tuple[list[float], int, int, int, int]]:
                 if a < e and s < b:
                     yield features(changed, k, a, b), int((k, a, b) in true), group, a, b
     group += 1
-    for k, a, b in _sampled((p for p in proposals(text) if not _overlaps(p[1], p[2], every)), rng):
+    for k, a, b in _sampled((p for p in proposals(text) if not _overlaps(p[1], p[2], every) and impossible(text, *p)), rng):
         yield features(text, k, a, b), 0, group, a, b
 
 
@@ -255,11 +271,11 @@ def _sampled(spans: Iterator[tuple[int, int, int]], rng: random.Random) -> list[
     return held
 
 
-def fit(docs: DataFrame, id_col: str, text_col: str, sample_rows: int = SAMPLE_ROWS, precision: float = PRECISION) -> tuple[boosting.Booster, float]:
-    """Trees fitted on the labelled spans of a hash sample of ``sample_rows`` documents on average, and their calibrated threshold.
+def fit(docs: DataFrame, id_col: str, text_col: str, sample_rows: int = SAMPLE_ROWS, precision: float = PRECISION) -> tuple[boosting.Booster, np.ndarray]:
+    """Trees fitted on the labelled spans of a hash sample of ``sample_rows`` documents on average, and the calibrated threshold of each kind.
 
-    A third of the sampled documents is kept from the fit; on it, the threshold is the least score with the asked precision, over the
-    spans that stay when of overlapping ones the best is taken.
+    A third of the sampled documents is kept from the fit; on it, a threshold is the least score with the asked precision, over the spans
+    of the kind that stay when of overlapping ones the best is taken. A kind without such spans gets none added.
     """
     rows = docs.select(F.xxhash64(F.col(f"`{id_col}`"), F.lit(3)).alias("h"), F.col(f"`{text_col}`").alias("text"))
     rate = min(1.0, sample_rows / max(1, docs.count()))
@@ -275,7 +291,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, sample_rows: int = SAMPLE_R
 
     found = map_batches(sample, run, "h bigint, y bigint, g bigint, s bigint, e bigint, x array<double>").toArrow()
     if not found.num_rows:
-        return boosting.Booster(-20.0, 0.0, []), 1.01
+        return boosting.Booster(-20.0, 0.0, []), np.full(len(KINDS), 1.01)
     h, y, g, s, e = (found[n].to_numpy() for n in names)
     x = found["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(h), -1)
     order = np.lexsort((*x.T, y, e, s, g, h))  # the same rows in the same order, however they arrive
@@ -284,7 +300,8 @@ def fit(docs: DataFrame, id_col: str, text_col: str, sample_rows: int = SAMPLE_R
     model = boosting.fit(x[~kept], y[~kept])
     p = model.predict(x[kept])
     best = _best(p, h[kept], g[kept], s[kept], e[kept])
-    return model, boosting.threshold(p[best], y[kept][best], precision)
+    p, y, kind = p[best], y[kept][best], x[kept][best, : len(KINDS)].argmax(axis=1)  # the features begin with the kind
+    return model, np.array([boosting.threshold(p[kind == k], y[kind == k], precision) for k in range(len(KINDS))])
 
 
 def _best(scores: np.ndarray, h: np.ndarray, g: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
@@ -326,7 +343,7 @@ def find(
     A null text counts as empty and has no spans. Repeated rows and null ids each return their row. An empty table gives no rows.
     Whole texts are read; other columns are not.
     """
-    model, limit = fit(docs, id_col, text_col, sample_rows, precision)
+    model, limits = fit(docs, id_col, text_col, sample_rows, precision)
     kind = docs.schema[id_col].dataType.simpleString()
     names = [id_col, "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", *(["redacted"] if redacted else [])]
     schema = ", ".join([f"`{id_col}` {kind}", *[f"{n} bigint" for n in names[1:5]], *[f"{n} string" for n in names[5:]]])
@@ -339,7 +356,7 @@ def find(
             near = ((i, span) for i, t in enumerate(texts) for taken in [_joined(base[i])] for span in proposals(t) if not _overlaps(span[1], span[2], taken))
             while part := list(islice(near, SCORED)):  # what is under the threshold is not held
                 scores = model.predict(np.array([features(texts[i], *span) for i, span in part], float))
-                for at in np.flatnonzero(scores >= limit).tolist():
+                for at in np.flatnonzero(scores >= limits[[span[0] for _, span in part]]).tolist():
                     held.setdefault(part[at][0], []).append((part[at][1], float(scores[at])))
             out = []
             for i, text in enumerate(texts):

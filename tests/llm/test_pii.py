@@ -97,6 +97,34 @@ def test_numbers_are_found(spark):
         assert got[i].split(",") == moved, (text, got[i])
 
 
+FORMS = [
+    "call (415) 555-{} ok",
+    "mail bob{} (at) mail.example.com now",
+    "host 10[.]12[.]7[.]{} there",
+]
+
+
+def test_natural_finds_have_no_label():
+    for form in FORMS:
+        text = f"the and of {form.format(255 if '[.]' in form else 2671)} ther ing"
+        assert list(pii.proposals(text)) and not list(pii.examples(text)), text
+    for text in ("id 4539578763621487 sent", "host 10.12.7.256 up", "on 2024-01-05 10.25", "x (at) 12.34"):
+        found = list(pii.examples(text))
+        assert {y for _, y, *_ in found} <= {0} and bool(found) == any(pii.impossible(text, *p) for p in pii.proposals(text)), text
+
+
+def test_many_natural_finds(spark):
+    rng = random.Random(9)
+    rows = [(i, document(rng, i)) for i in range(1500)]
+    forms = [(3000 + i, f"the and of {FORMS[i % 3].format(100 + i % 100 if i % 3 == 2 else 1000 + i)} ther ing") for i in range(600)]
+    docs = spark.createDataFrame(rows + forms, "doc_id bigint, text string")
+    got = pii.find(docs).where("doc_id >= 3000").collect()
+    kinds = ("phone", "email", "ip")
+    for k in range(3):
+        own = [r["spans"] for r in got if (r["doc_id"] - 3000) % 3 == k]
+        assert sum(s.startswith(kinds[k]) and "," not in s for s in own) >= 0.95 * len(own), (kinds[k], own[:3])
+
+
 def test_trees():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(3000, 5))
