@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import bpe, html_text, langid, licenses, nearest, packing, pii, quality, secrets, simhash
+from barloom.llm import bpe, exact_dedup, html_text, langid, licenses, nearest, packing, pii, quality, secrets, simhash
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,13 @@ def op10_secret_scan(spark, sf_dir):
 
 
 ORACLE["op10_secret_scan"] = _secrets_sql()
+
+
+@query
+def op13_exact_dedup(spark, sf_dir):
+    return exact_dedup.dedupe(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_exact_dedup"] = """with d as (select doc_id, coalesce(text, '') as text from documents),
+    g as (select text, max(doc_id) as keep_id, count(*) as group_size from d group by text)
+    select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(text) as text_sha256 from d join g using (text)"""
