@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import bpe, exact_dedup, html_text, langid, licenses, nearest, packing, pii, quality, secrets, simhash
+from barloom.llm import bpe, exact_dedup, hard_negatives, html_text, langid, licenses, nearest, packing, pii, quality, secrets, simhash
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,19 @@ def op13_exact_dedup(spark, sf_dir):
 ORACLE["op13_exact_dedup"] = """with d as (select doc_id, coalesce(text, '') as text from documents),
     g as (select text, max(doc_id) as keep_id, count(*) as group_size from d group by text)
     select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(text) as text_sha256 from d join g using (text)"""
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op12_hard_negatives"] = """with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as e from embeddings
+        where vec_id is not null and label is not null and embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+    s as (select a.vec_id as a, a.label = c.label as same, c.vec_id as c, cast(list_sum([x[1] * x[2] for x in list_zip(a.e, c.e)]) as bigint) as score
+        from v a join v c on a.vec_id % 100 = 0 and a.vec_id != c.vec_id),
+    p as (select * from (select a, c, score, row_number() over (partition by a order by score desc, c) as n from s where same) where n <= 5)
+    select anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score from (
+        select p.a as anchor_id, p.c as positive_id, s.c as negative_id, p.score as positive_score, s.score as negative_score,
+            row_number() over (partition by p.a, p.c order by s.score desc, s.c) as rank
+        from p join s on s.a = p.a and not s.same and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score) where rank <= 10"""
