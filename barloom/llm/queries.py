@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barloom.llm import bpe, exact_dedup, hard_negatives, html_text, langid, licenses, nearest, packing, pii, quality, secrets, simhash
+from barloom.llm import bpe, exact_dedup, hard_negatives, html_text, langid, licenses, nearest, packing, pii, quality, runs, secrets, simhash
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +173,32 @@ ORACLE["op12_hard_negatives"] = """with v as (select vec_id, case when vec_id %
         select p.a as anchor_id, p.c as positive_id, s.c as negative_id, p.score as positive_score, s.score as negative_score,
             row_number() over (partition by p.a, p.c order by s.score desc, s.c) as rank
         from p join s on s.a = p.a and not s.same and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score) where rank <= 10"""
+
+
+def _with_planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's made repetition: from some word on, the texts of a tenth of the ids repeat."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * ((n - a) // p + 1))[: n - a]
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    found = runs.detect(table(spark, sf_dir, "documents"), reshape=_with_planted_period)
+    best = F.expr("array_sort(runs, (x, y) -> case when x.length != y.length then int(signum(y.length - x.length)) when x.start != y.start then int(signum(x.start - y.start)) else int(signum(x.period - y.period)) end)")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    longest = found.withColumn("best", F.get(best, F.lit(0)))
+    return longest.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
