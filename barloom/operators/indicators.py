@@ -1,8 +1,8 @@
 """Technical indicators over price bars.
 
 An indicator is a recipe with a look-back; ``add`` applies any number of them in one pass, so all of them share
-the shuffle and sort of ``blocks.place``. Rolling indicators are window expressions. Exponential means are
-recursive, which no built-in expression offers, so they run over Arrow batches.
+the shuffle and sort of ``blocks.place``. Rolling indicators are window expressions, and so are exponential means, as sums of values
+scaled by the product of their weights.
 """
 
 from __future__ import annotations
@@ -11,9 +11,8 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barloom.operators.blocks import BLOCK_ROWS, Placed, place
 
@@ -61,8 +60,13 @@ def add(
     order: str = "date",
     block_rows: int = BLOCK_ROWS,
     chunk: Column | None = None,
+    keep_state: bool = False,
 ) -> DataFrame:
-    """Add every indicator to the bars of every series."""
+    """Add every indicator to the bars of every series.
+
+    ``keep_state`` also returns what :func:`barloom.operators.resume.advance` needs to go on from any row: ``state_n`` (rows before it) and the value of
+    every exponential mean. A frame that holds columns of :data:`RESUME` goes on from such a row.
+    """
     lookback = 0
     for i in indicators:
         lookback = lookback + i.extra if i.extra else max(lookback, i.lookback)
@@ -73,60 +77,114 @@ def add(
     means = [m for i in indicators for m in i.means]
     prior = [p for i in indicators for p in i.prior]
     if means:
-        placed = placed.with_df(exponential(placed, means, prior))
+        placed = placed.with_df(exponential(placed, means, prior, keep_state))
+    elif keep_state:
+        placed = placed.with_columns({"state_n": _seen_before(placed)})
     for i in indicators:
         if i.after:
             placed = placed.with_df(i.after(placed.df))
-    return placed.finish(*[s for i in indicators for s in i.scratch])
+    return placed.finish(*[s for i in indicators for s in i.scratch], *resume_columns(df))
+
+
+#: Columns of a resumed frame: whether a row lies at or after the row that means go on from, and rows of the series before the frame.
+RESUME = ("_live", "_skipped")
+#: Prefix of the columns with the means of the row to go on from, null on all other rows.
+SEED = "_seed_"
+#: Decay, in natural logarithms, over which scaled sums run at least and at most: a quarter of the first is below double precision, and the last with a quarter on top
+#: can still be represented.
+FADED, REPRESENTABLE = 160.0, 520.0
+
+
+def resume_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c in RESUME or c.startswith(SEED)]
+
 
+def state_column(mean: str) -> str:
+    return f"state_{mean.strip('_')}"
 
-def exponential(placed: Placed, means: list[Ewm], prior: list[tuple[str, tuple[str, ...], float]]) -> DataFrame:
-    """All exponential means in one pass over sorted Arrow batches.
 
-    Rows arrive sorted by (key, block, order), so a batch holds many short blocks or a part of a long one. Blocks within a batch are
-    smoothed together, and the block a batch breaks off in is continued with its last means, so memory is one batch whatever the size of a block.
+def _seen_before(placed: Placed) -> Column:
+    skipped = F.col("_skipped") if "_skipped" in placed.df.columns else F.lit(0)
+    return F.col("_pos") + skipped
+
+
+def _spans(means: Sequence[Ewm]) -> dict[str, int]:
+    """Rows after which each mean's scaled sums start anew. Means share a number where they can, and so a sort."""
+    taken: list[int] = []
+    found = {}
+    for m in sorted((m for m in means if m.alpha < 1), key=lambda m: m.alpha):
+        decay = -math.log1p(-m.alpha)
+        fit = [n for n in taken if FADED <= n * decay <= REPRESENTABLE]
+        if not fit:
+            fit = [math.ceil(FADED / decay)]
+            taken += fit
+        found[m.name] = fit[0]
+    return found
+
+
+def exponential(placed: Placed, means: list[Ewm], prior: list[tuple[str, tuple[str, ...], float]], keep_state: bool = False) -> DataFrame:
+    """All exponential means as window expressions.
+
+    A row maps the mean before it to a * mean + b * value, so the mean is P * sum(b * value / P) with P the product of the a so far. P would leave the range of doubles,
+    so products and sums start anew after every span of rows: the last value of the span before enters with weight P, and what came before that weighs less than
+    double precision. A missing value keeps the mean, and the next value weighs more, as its predecessor is further away.
     """
-    added = [m.name for m in means] + [n for n, _, _ in prior]
-    schema = T.StructType(placed.df.schema.fields + [T.StructField(n, T.DoubleType()) for n in added])
-
-    def smooth(batches):
-        import numpy as np
-        import pandas as pd
-
-        last = {}  # last mean, and last prior value, of the block the previous batch ended in
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            starts = pdf["_n"].to_numpy() == 1
-            block = starts.cumsum()
-            continued = not starts[0]
-            columns = {}
-
-            def column(name):
-                return columns[name] if name in columns else pdf[name].to_numpy(dtype=float)
-
-            raw = {}
-            for m in means:
-                source = column(m.source) if m.minus is None else column(m.source) - column(m.minus)
-                groups = block
-                if continued:  # the running mean stands in for all rows before
-                    source, groups = np.append(last[m.name], source), np.append(0, block)
-                smoothed = pd.Series(source).groupby(groups).ewm(alpha=m.alpha, adjust=False).mean().to_numpy()
-                smoothed = smoothed[1:] if continued else smoothed
-                raw[m.name] = smoothed
-                columns[m.name] = np.where(pdf["_pos"].to_numpy() >= m.warmup, smoothed, np.nan)
-            for name, terms, default in prior:
-                values = column(terms[0])
-                for term in terms[1:]:
-                    values = values - column(term)
-                before = np.append(last.get(name, default), values[:-1])
-                columns[name] = np.where(starts | np.isnan(before), default, before)
-                last[name] = values[-1]
-            last.update({n: v[-1] for n, v in raw.items()})
-            yield pdf.assign(**columns)
-
-    ordered = placed.df.sortWithinPartitions(*placed.keys, "_blk", placed.order)
-    return ordered.mapInPandas(smooth, schema)
+    spans = _spans(means)
+    root: dict[str, str] = {}  # which values are missing: those of a column, or all before its first
+    named = [*placed.keys, "_blk"]
+    until = placed.window.rowsBetween(Window.unboundedPreceding, 0)
+    earlier = placed.window.rowsBetween(Window.unboundedPreceding, -1)
+    resumed = "_live" in placed.df.columns
+    helpers = set()
+    for m in means:
+        origin = root.get(m.source, m.source)
+        root[m.name] = f"{origin.removesuffix('+')}+"  # a mean goes on over missing values
+        value = F.col(m.source) if m.minus is None else F.col(m.source) - F.col(m.minus)
+        if resumed:
+            seed = SEED + m.name.strip("_")
+            value = F.when(F.col("_live"), F.coalesce(seed, value) if seed in placed.df.columns else value)
+        x = f"_x{m.name}"
+        placed = placed.with_columns({x: value.cast("double")})
+        if m.alpha >= 1:
+            placed = placed.with_columns({m.name: F.last(x, ignorenulls=True).over(until)})
+            placed = placed.with_df(placed.df.drop(x))
+            continue
+        rows, cap = spans[m.name], spans[m.name] // 4
+        gap, span = f"_gap_{origin}", f"_span{rows}_{origin}"
+        seen = F.col(x).isNotNull()
+        if gap not in helpers:
+            placed = placed.with_columns({gap: F.when(seen, F.col("_n") - F.last(F.when(seen, F.col("_n")), ignorenulls=True).over(earlier))})
+        if span not in helpers:
+            placed = placed.with_columns({span: F.sum(F.when(F.col(gap).isNotNull(), F.least(gap, F.lit(cap))).otherwise(0)).over(until)})
+            placed = placed.with_columns({span: F.expr(f"`{span}` div {rows}")})
+        helpers |= {gap, span}
+        # the windows below sort by key, block, span and order, so one sort serves them
+        inside = Window.partitionBy(*named, span).orderBy(placed.order).rowsBetween(Window.unboundedPreceding, 0)
+        across = Window.partitionBy(*named).orderBy(span, placed.order)
+        fade = F.pow(F.lit(1 - m.alpha), F.least(F.col(gap), F.lit(cap)))
+        opens, plain = seen & F.col(gap).isNull(), F.col(gap) == 1
+        keep = F.when(~seen | opens, 1.0).when(plain, 1 - m.alpha).otherwise(fade / (fade + m.alpha))
+        gain = F.when(~seen, 0.0).when(opens, 1.0).when(plain, m.alpha).otherwise(m.alpha / (fade + m.alpha))
+        # what is averaged is the distance to the first value, so that a series which does not move has exact means
+        placed = placed.with_columns({"_first": F.first(x, ignorenulls=True).over(until)})
+        placed = placed.with_columns({"_keep": keep, "_add": gain * F.coalesce(F.col(x) - F.col("_first"), F.lit(0.0))})
+        placed = placed.with_columns({"_p": F.product("_keep").over(inside)})
+        placed = placed.with_columns({"_part": F.col("_p") * F.sum(F.col("_add") / F.col("_p")).over(inside)})
+        placed = placed.with_columns({"_left": F.when(F.lag(span).over(across) < F.col(span), F.lag("_part").over(across))})
+        entered = F.last("_left", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, 0))
+        placed = placed.with_columns({m.name: F.col("_first") + F.col("_part") + F.col("_p") * F.coalesce(entered, F.lit(0.0))})
+        placed = placed.with_df(placed.df.drop(x, "_first", "_keep", "_add", "_p", "_part", "_left"))
+    df = placed.df.drop(*helpers)
+    at = _seen_before(placed)
+    if keep_state:
+        df = df.withColumns({"state_n": at, **{state_column(m.name): F.col(m.name) for m in means}})
+    df = df.withColumns({m.name: F.when(at >= m.warmup, F.col(m.name)) for m in means if m.warmup})
+    for name, terms, default in prior:
+        value = F.col(terms[0])
+        for term in terms[1:]:
+            value = value - F.col(term)
+        df = df.withColumn(name, value).withColumn(name, F.coalesce(F.lag(name).over(placed.window), F.lit(default)))
+    return df
 
 
 def sma(rows: int, source: str = "close", name: str | None = None) -> Indicator:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.operators.blocks import Placed, place
-from barloom.operators.indicators import Indicator, bollinger, exponential, macd, rsi
+from barloom.operators.indicators import Indicator, bollinger, exponential, macd, resume_columns, rsi
 
 
 def crossover() -> Indicator:
@@ -24,17 +24,22 @@ def crossover() -> Indicator:
     return Indicator(0, columns, extra=1)
 
 
-def batch_rule(df: DataFrame, hold: int = 5, keys: tuple[str, ...] = ("ticker",), order: str = "date") -> DataFrame:
+HOLD = 5
+#: Rows before a bar that the rolling indicators of ``batch_rule`` read.
+BATCH_ROWS = 20
+
+
+def batch_rule(df: DataFrame, hold: int = HOLD, keys: tuple[str, ...] = ("ticker",), order: str = "date", keep_state: bool = False) -> DataFrame:
     """Sample bands, simple-mean RSI and exponential MACD, with signals that stay on for ``hold`` rows.
 
     Buy needs all of: MACD under its signal line and under zero, RSI under 30, close at or under the lower band. Sell is the mirror
-    image with RSI over 70.
+    image with RSI over 70. ``keep_state`` and resumed frames are as in ``indicators.add``.
     """
     line = macd()
     placed = place(df, keys, order, line.lookback + hold)
-    for i in (bollinger(20, ddof=1, fill=0.0), rsi("sma", fill=50.0)):
+    for i in (bollinger(BATCH_ROWS, ddof=1, fill=0.0), rsi("sma", fill=50.0)):
         placed = i.before(placed)
-    placed = placed.with_df(line.after(exponential(placed, list(line.means), [])))
+    placed = placed.with_df(line.after(exponential(placed, list(line.means), [], keep_state)))
     buy = (
         (F.col("macd") < F.col("macd_signal"))
         & (F.col("macd") < 0)
@@ -49,7 +54,7 @@ def batch_rule(df: DataFrame, hold: int = 5, keys: tuple[str, ...] = ("ticker",)
     )
     frame = placed.last(hold)
     placed = placed.with_columns({"buy_signal": F.max(buy).over(frame), "sell_signal": F.max(sell).over(frame)})
-    return placed.finish("_fast", "_slow")
+    return placed.finish("_fast", "_slow", *resume_columns(df))
 
 
 @dataclass(frozen=True)

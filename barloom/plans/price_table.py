@@ -26,15 +26,33 @@ SCHEMA = T.StructType(
 STORED = {"bb_mid": "bb_sma_20", "bb_upper": "bb_upper_20", "bb_lower": "bb_lower_20", "rsi": "rsi_14"}
 
 
-def stored(df: DataFrame, digits: int | None = 4) -> DataFrame:
-    return conform(df.withColumnsRenamed(STORED), SCHEMA, {"volume": F.lit(0)}, digits)
+#: Columns that let the next update go on from a row, at full precision: rows before it and its exponential means.
+STATE = {"state_n": "long", "state_fast": "double", "state_slow": "double", "state_macd_signal": "double"}
 
 
-def build(bars: DataFrame, start: date | None = None, digits: int | None = 4) -> DataFrame:
+def stored(df: DataFrame, digits: int | None = 4, state: bool = False) -> DataFrame:
+    """The columns of the table, with ``state`` also those of :data:`STATE`."""
+    named = df.withColumnsRenamed(STORED)
+    if not state:
+        return conform(named, SCHEMA, {"volume": F.lit(0)}, digits)
+    whole = T.StructType([*SCHEMA.fields, *[T.StructField(n, {'long': T.LongType(), 'double': T.DoubleType()}[t]) for n, t in STATE.items()]])
+    out = conform(named, whole, {"volume": F.lit(0)})
+    if digits is None:
+        return out
+    return out.withColumns({f.name: F.bround(f.name, digits) for f in SCHEMA.fields if isinstance(f.dataType, T.DoubleType)})
+
+
+def build(bars: DataFrame, start: date | None = None, digits: int | None = 4, state: bool = False) -> DataFrame:
     """All days from ``start`` on."""
-    return stored(incremental.backfill(bars, start), digits)
+    return stored(incremental.backfill(bars, start, state), digits, state)
+
 
+def update(table: DataFrame, bars: DataFrame, as_of: date, lookback_days: int | None = None, digits: int | None = 4) -> DataFrame:
+    """The table with each ticker's newest complete day recomputed.
 
-def update(table: DataFrame, bars: DataFrame, as_of: date, lookback_days: int = 180, digits: int | None = 4) -> DataFrame:
-    """The table with each ticker's newest complete day recomputed."""
+    A table with state goes on from it and reads the last few bars; the new row equals that of a rebuild. Without state, or with ``lookback_days``, the row comes
+    from the history.
+    """
+    if lookback_days is None and set(STATE) <= set(table.columns):
+        return upsert(table, stored(incremental.newest_bar(bars, table, as_of), digits, True), ["ticker", "date"])
     return upsert(table, stored(incremental.latest_bar(bars, as_of, lookback_days), digits), ["ticker", "date"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -10,6 +10,7 @@ from barloom.operators import incremental, indicators, quality, query as lookup,
 from barloom.operators.dedupe import latest_snapshot
 from barloom.plans import indicator_job, price_table
 from barloom.sources import prices as price_source
+from barloom.sources import tables
 from catalog.fixtures import COMPANIES, PRICES, PRICES_RAW, bars, companies, prices_raw, q6, r6
 from catalog.registry import query
 
@@ -376,10 +377,28 @@ select ticker, date, close, null, null from fx_prices_all p where not exists (se
 )
 def price_table_update(spark, sf):
     old = price_table.stored(bars(spark, sf), None)
-    out = price_table.update(old, bars(spark, sf), as_of=date(2001, 6, 29), digits=None)
+    out = price_table.update(old, bars(spark, sf), as_of=date(2001, 6, 29), lookback_days=180, digits=None)
     return out.select("ticker", "date", "close", *[F.round(F.col(c) + 3.3e-9, 4).alias(c) for c in ("rsi_14", "macd")])
 
 
+@query(
+    "price_table_resume",
+    f"""with recursive {PRICES.replace("fx_prices as materialized", "fx_prices_all as materialized")},
+fx_prices as materialized (select * from fx_prices_all where date < date '2001-06-29'), {MACD_EWM}, {BATCH}
+select ticker, date, close, buy_signal, sell_signal, round(mid + 3.3e-9, 4) as bb_sma_20, round(rsi + 3.3e-9, 4) as rsi_14, round(macd + 3.3e-9, 4) as macd,
+       round(macd_signal + 3.3e-9, 4) as macd_signal from batch""",
+)
+def price_table_resume(spark, sf):
+    """The last days one after the other, each from the state the day before has left; the SQL builds the table anew."""
+    history = bars(spark, sf)
+    out = tables.stage(price_table.build(history.filter(F.col("date") < date(2001, 6, 26)), digits=None, state=True), "price-table")
+    late = history.filter(F.col("date").between(date(2001, 6, 26), date(2001, 6, 28))).select("date").distinct()
+    for (day,) in sorted(late.collect()):  # three days at most
+        out = tables.stage(price_table.update(out, history, as_of=day + timedelta(days=1), digits=None), "price-table")
+    soft = ("bb_sma_20", "rsi_14", "macd", "macd_signal")
+    return out.select("ticker", "date", "close", "buy_signal", "sell_signal", *[F.round(F.col(c) + 3.3e-9, 4).alias(c) for c in soft])
+
+
 @query(
     "sig_votes",
     f"""with recursive {PRICES}, {MACD_EWM}, {RULE}
@@ -453,5 +472,5 @@ select ticker, date, close, {q6("mid")} as bb_mid, {q6("rsi")} as rsi, {q6("macd
 from batch qualify row_number() over (partition by ticker order by date desc) = 1""",
 )
 def price_incremental(spark, sf):
-    out = incremental.latest_bar(bars(spark, sf), as_of=date(2001, 6, 29))
+    out = incremental.latest_bar(bars(spark, sf), as_of=date(2001, 6, 29), lookback_days=180)
     return rounded(out, ("ticker", "date", "close", "buy_signal", "sell_signal"), "bb_mid", "rsi", "macd", "macd_hist")

@@ -11,24 +11,31 @@ from barloom.streaming import articles, bars, partials, sources, upsert
 from barloom.streaming import indicators as running
 
 
-def test_indicators_over_slices_equal_batch(spark):
-    rng = np.random.default_rng(1)
-    rows = [
-        (t, date(2022, 1, 1) + timedelta(days=i), float(p))
-        for t in ("A", "B")
-        for i, p in enumerate(np.round(100 * np.exp(np.cumsum(rng.normal(0, 0.02, 300))), 4))
+def walk(n, tickers=("A", "B"), seed=1):
+    rng = np.random.default_rng(seed)
+    return [
+        (t, date(2021, 1, 1) + timedelta(days=i), float(p))
+        for t in tickers
+        for i, p in enumerate(np.round(100 * np.exp(np.cumsum(rng.normal(0, 0.02, n))), 4))
     ]
+
+
+def test_indicators_of_late_and_corrected_bars_equal_batch(spark):
+    rows = walk(500)
     df = spark.createDataFrame(rows, "ticker string, date date, close double")
     source, out, checkpoint = (scratch(spark, n) for n in ("in", "out", "cp"))
-    for first, last in (("2022-01-01", "2022-01-10"), ("2022-01-11", "2022-06-01"), ("2022-06-02", "2023-12-31")):
-        df.filter(F.col("date").between(first, last)).write.mode("append").parquet(source)
-        sources.drain(running.running_indicators(sources.folder(spark, source, df.schema)), out, checkpoint)
-    got = spark.read.parquet(out).toPandas().sort_values(["ticker", "date"]).reset_index(drop=True)
+    wrong = df.filter("ticker = 'A' and date = '2021-03-03'").withColumn("close", F.lit(500.0))
+    dealt = [df.filter(F.pmod(F.hash("date"), F.lit(3)) == i) for i in (2, 0)] + [wrong, df.filter(F.pmod(F.hash("date"), F.lit(3)) == 1).unionByName(df.filter("date = '2021-03-03'"))]
+    for part in dealt:
+        part.write.mode("append").parquet(source)
+        running.start_indicators(sources.folder(spark, source, df.schema), out, checkpoint, buckets=2)
+    running.fold_into(out, 2)(dealt[-1], 3)  # a repeated batch
+    got = running.read_indicators(spark, out).toPandas().sort_values(["ticker", "date"]).reset_index(drop=True)
     want = indicators.add(df, indicators.sma(20), indicators.sma(50), *signals.mean_reversion()).toPandas()
     want = want.sort_values(["ticker", "date"]).reset_index(drop=True)
-    assert len(got) == len(want) == 600
-    for c in ("sma_20", "sma_50", "bb_upper", "bb_lower", "rsi", "macd", "macd_signal", "macd_hist"):
-        np.testing.assert_allclose(got[c], want[c], atol=1e-7, err_msg=c)
+    assert len(got) == len(want) == 1000
+    for c in ("close", "sma_20", "sma_50", "bb_upper", "bb_lower", "rsi", "macd", "macd_signal", "macd_hist"):
+        np.testing.assert_allclose(got[c], want[c], atol=1e-9, err_msg=c)
 
 
 def test_daily_bars_keep_open_days_back(spark):
