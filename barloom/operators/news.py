@@ -90,25 +90,26 @@ def top_k(df: DataFrame, k: int) -> DataFrame:
 def pick_buckets(df: DataFrame, n_general: int, n_specific: int, by: Sequence[str] = ()) -> DataFrame:
     """The best of two buckets per batch, without taking an article twice.
 
-    Each bucket offers its best titles (four times the wanted number, or 20). General picks come first, specific picks skip what general took,
-    and a thin bucket is topped up from what both have left. ``position`` orders the result by score, then recency.
+    Each bucket ranks its best titles by score, then recency. General picks come first, specific picks skip what general took, and a thin bucket is topped up
+    from what both have left. ``position`` orders the result by score, then recency.
+
+    Exact: of a bucket only the best title of each address can be picked, and the n_general + n_specific best addresses are all that picks and top-up can
+    come to, so that many are kept, however many titles share an address.
     """
-    pools = {GENERAL: n_general * 4 or 20, SPECIFIC: n_specific * 4 or 20}
     wanted = n_general + n_specific
     batch = [*by] or ["_all"]
     source = df if by else df.withColumn("_all", F.lit(0))
-    offered = rank(source.filter(F.col("bucket").isin(*pools)), max(pools.values()), [*batch, "bucket"]).filter(
-        F.col("rank") <= F.when(F.col("bucket") == GENERAL, pools[GENERAL]).otherwise(pools[SPECIFIC])
-    )
+    titles = best_titles(source.filter(F.col("bucket").isin(GENERAL, SPECIFIC)), [*batch, "bucket"])
+    order = (F.col("score").desc(), _recency().desc(), F.col("first_seq").asc())
+    # what an address offers besides its best title combines away before the shuffle
+    one = dedupe.top_per_key(titles.withColumn("_id", text.article_id(F.col("url"), F.col("title"))), [*batch, "bucket", "_id"], 1, *order)
+    # the other bucket may take as many as it wants of the same addresses
+    offered = dedupe.top_per_key(one, [*batch, "bucket"], 2 * wanted, *order)
+    ranks = Window.partitionBy(*batch, "bucket").orderBy(*order)
     # from here on a batch has at most the two pools
     w = Window.partitionBy(*batch)
     turn = F.when(F.col("bucket") == GENERAL, 0).otherwise(1)
-    pool = (
-        offered.repartition(*batch)
-        .withColumn("_id", text.article_id(F.col("url"), F.col("title")))
-        .withColumn("_turn", turn)
-        .withColumn("_new", F.row_number().over(Window.partitionBy(*batch, "_turn", "_id").orderBy("rank")) == 1)
-    )
+    pool = offered.withColumn("rank", F.row_number().over(ranks)).repartition(*batch).withColumn("_turn", turn)
 
     def take(frame: DataFrame, eligible: Column, n: int | Column, name: str) -> DataFrame:
         ordered = Window.partitionBy(*batch, "_may").orderBy("_turn", "rank")
@@ -116,14 +117,13 @@ def pick_buckets(df: DataFrame, n_general: int, n_specific: int, by: Sequence[st
         return frame.withColumn(name, F.col("_may") & (F.row_number().over(ordered) <= n)).drop("_may")
 
     same = Window.partitionBy(*batch, "_id")
-    pool = take(pool, (F.col("_turn") == 0) & F.col("_new"), n_general, "_g")
+    pool = take(pool, F.col("_turn") == 0, n_general, "_g")
     pool = pool.withColumn("_g_has", F.max("_g").over(same))
-    pool = take(pool, (F.col("_turn") == 1) & F.col("_new") & ~F.col("_g_has"), n_specific, "_s")
+    pool = take(pool, (F.col("_turn") == 1) & ~F.col("_g_has"), n_specific, "_s")
     pool = pool.withColumn("_taken", F.max(F.col("_g") | F.col("_s")).over(same))
     pool = pool.withColumn("_short", F.lit(wanted) - F.sum((F.col("_g") | F.col("_s")).cast("int")).over(w))
     left = ~F.col("_taken") & (F.row_number().over(Window.partitionBy(*batch, "_id").orderBy("_turn", "rank")) == 1)
-    pool = pool.withColumn("_left", left)
-    pool = take(pool, F.col("_left"), F.col("_short"), "_more")
+    pool = take(pool.withColumn("_left", left), F.col("_left"), F.col("_short"), "_more")
     chosen = pool.filter("_g or _s or _more").withColumn("_stage", F.when(F.col("_g"), 0).when(F.col("_s"), 1).otherwise(2))
     final = Window.partitionBy(*batch).orderBy(F.col("score").desc(), _recency().desc(), "_stage", "_turn", "rank")
     return chosen.withColumn("position", F.row_number().over(final)).select(*df.columns, "rank", "position")
@@ -153,11 +153,12 @@ def summary_candidates(df: DataFrame, as_of: int, hours: int = RECENT_HOURS, by:
     today = epoch_day(F.col("published_ts")) == epoch_day(F.lit(as_of))
     dated = df.filter("published_ts is not null and published_ts <> 0").withColumn("_today", today)
     kept = dated.filter(F.col("_today") | (F.col("published_ts") >= as_of - hours * 3600))
-    batch = [*by] or ["_all"]
-    if not by:
-        kept = kept.withColumn("_all", F.lit(0))
-    has = kept.groupBy(*batch).agg(F.max("_today").alias("_any"))
-    out = kept.join(has, batch).filter(F.col("_today") | (~F.col("_any") & (F.col("published_ts") >= as_of - hours * 3600)))
+    if by:
+        kept = kept.join(kept.groupBy(*by).agg(F.max("_today").alias("_any")), [*by])
+    else:
+        # one value for all, asked for as a scalar: a join without a key would be a cross join
+        kept = kept.withColumn("_any", kept.agg(F.max("_today")).scalar())
+    out = kept.filter(F.col("_today") | (~F.col("_any") & (F.col("published_ts") >= as_of - hours * 3600)))
     return out.select(*df.columns)
 
 

@@ -90,8 +90,10 @@ def daily_summary(
     own = lines.select(*[fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in summaries.schema.fields])
     # one row: the newest of the days before
     last = summaries.filter(F.col("day") < day).orderBy(F.col("day").desc()).limit(1)
-    carried = last.withColumn("day", day).join(own.select("day"), "day", "left_anti").select(*summaries.columns)
-    return merge.upsert(summaries, own.unionByName(carried), ["day"])
+    carried = last.withColumn("day", day).select(*summaries.columns, F.lit(1).alias("_turn"))
+    # the day's own row, else the carried one
+    written = own.withColumn("_turn", F.lit(0)).unionByName(carried).orderBy("_turn").limit(1).drop("_turn")
+    return merge.upsert(summaries, written, ["day"])
 
 
 def backfill(scored: DataFrame, start: date, end: date, window_days: int = 10, overlap_days: int = 2, n_general: int = 5, n_specific: int = 5) -> DataFrame:

@@ -30,6 +30,9 @@ def session(name: str = "barloom", master: str | None = None, **extra: str) -> S
     return builder.getOrCreate()
 
 
+_TEMPORARY: dict[str, str] = {}  # by application, since the setting cannot be changed in a running session
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
@@ -43,6 +46,8 @@ def shared_folder(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("name a folder that every executor can reach in spark.checkpoint.dir")
-        named = tempfile.mkdtemp(prefix="barloom-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        application = spark.sparkContext.applicationId
+        if application not in _TEMPORARY:
+            _TEMPORARY[application] = tempfile.mkdtemp(prefix="barloom-")
+        named = _TEMPORARY[application]
     return named.rstrip("/")

@@ -130,17 +130,16 @@ kb as (
 bests as (
   select *, min(seq) over (partition by b, t, title_key) as first_seq from kb
   qualify row_number() over (partition by b, t, title_key order by score desc, seq) = 1),
-pool as (
-  select *, row_number() over (partition by b, t order by score desc, coalesce(published_ts, 0) desc, first_seq) as r
-  from bests qualify r <= 20),
-uniq as (select * from pool qualify row_number() over (partition by b, t, id order by r) = 1),
+uniq as (
+  select *, row_number() over (partition by b, t order by score desc, coalesce(published_ts, 0) desc, first_seq) as r from (
+    select * from bests qualify row_number() over (partition by b, t, id order by score desc, coalesce(published_ts, 0) desc, first_seq) = 1)),
 g as (select *, 0 as stage from uniq where t = 0 qualify row_number() over (partition by b order by r) <= 5),
 s as (
   select *, 1 as stage from uniq u where t = 1 and not exists (select 1 from g where g.b is not distinct from u.b and g.id = u.id)
   qualify row_number() over (partition by b order by r) <= 5),
 gs as (select * from g union all select * from s),
 spare as (
-  select *, 2 as stage from pool p where not exists (select 1 from gs where gs.b is not distinct from p.b and gs.id = p.id)
+  select *, 2 as stage from uniq p where not exists (select 1 from gs where gs.b is not distinct from p.b and gs.id = p.id)
   qualify row_number() over (partition by b, id order by t, r) = 1),
 counted as (select *, (select count(*) from gs where gs.b is not distinct from sp.b) as have from spare sp),
 more as (select * exclude (have) from counted qualify row_number() over (partition by b order by t, r) <= 10 - have),

@@ -13,7 +13,7 @@ SCHEMA = "seq long, bucket string, title string, url string, source string, imag
 
 
 def loop_pick(articles, n_general, n_specific):
-    def ranked(bucket, size):
+    def ranked(bucket):
         best, first = {}, {}
         for a in articles:
             if a["bucket"] == bucket:
@@ -21,10 +21,10 @@ def loop_pick(articles, n_general, n_specific):
                 if a["title"] not in best or a["score"] > best[a["title"]]["score"]:
                     best[a["title"]] = a
         order = sorted(best.values(), key=lambda a: (-a["score"], -(a["published_ts"] or 0), first[a["title"]]))
-        return order[:size]
+        return order
 
     key = lambda a: a["url"] or a["title"]
-    pools = [ranked("general", n_general * 4 or 20), ranked("specific", n_specific * 4 or 20)]
+    pools = [ranked("general"), ranked("specific")]
     seen, chosen = set(), []
     for pool, n in zip(pools, (n_general, n_specific)):
         fresh = [a for i, a in enumerate(pool) if key(a) not in seen and key(a) not in {key(b) for b in pool[:i]}][:n]
@@ -63,6 +63,26 @@ def test_buckets(spark, n_general, n_specific):
         assert got.get(b, []) == loop_pick(articles, n_general, n_specific), b
 
 
+def test_bucket_fills_where_its_best_titles_share_an_address(spark):
+    rows = [(i, "general", f"title {chr(97 + i // 26)}{chr(97 + i % 26)}", "https://u.example/same", "s", None, 5, 0.9) for i in range(200)]
+    rows += [(200 + i, "general", f"other {chr(97 + i)}", f"https://u.example/{i}", "s", None, 5, 0.1) for i in range(10)]
+    out = news.pick_buckets(spark.createDataFrame(rows, SCHEMA), 5, 0).orderBy("position")
+    assert [r.seq for r in out.collect()] == [0, 200, 201, 202, 203]
+
+
+def test_candidates_of_one_batch_or_many(spark):
+    """Two days: the day of ``as_of`` where it has articles, else the last hours; without batches the same as one batch."""
+    day = 86400
+    rows = [(1, 0, 10 * day + 5), (2, 0, 10 * day - 5), (3, 1, 10 * day - 5), (4, 1, 8 * day), (5, 1, None), (6, 2, 0)]
+    df = spark.createDataFrame(rows, "seq long, batch int, published_ts long")
+    pick = lambda d, by=(): sorted(r.seq for r in news.summary_candidates(d, 10 * day + 100, by=by).collect())
+    assert pick(df, ["batch"]) == [1, 3] and pick(df) == [1]
+    for b in (0, 1, 2):
+        part = df.filter(F.col("batch") == b)
+        assert pick(part) == pick(part, ["batch"])
+    assert pick(df.limit(0)) == []
+
+
 def one(spark, column):
     return spark.range(1).select(column.alias("x")).first()[0]
 
