@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.operators.readable import add_body
+
 # A text shorter than this is looked for in the next place; names of pictures that are no content.
 ENOUGH = 400
 BAD_IMAGE = r"(sprite|favicon|logo|brand|icon|placeholder|1x1|blank|data:image)"
@@ -34,31 +34,44 @@ def _each(items: Column, fn) -> Column:
     return F.transform(items, fn)
 
 
-def decoded(text: Column) -> Column:
-    """Character references as characters; the ampersand comes last, so nothing is decoded twice."""
+def _once(value: Column, fn) -> Column:
+    """``fn`` of a value that it may name several times, worked out once."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+_ENDED = "|".join(NAMES)
+_OLD = "|".join([*OLD_NAMES, "amp"])
+_REFERENCE = rf"&(?:#[0-9]{{1,8}};|#[xX][0-9a-fA-F]{{1,7}};|(?:{_ENDED});|(?:{_OLD});?)"
+
+
+def _character(ref: Column) -> Column:
+    """The character of one reference; what is no character is U+FFFD."""
+    code = F.when(ref.rlike("^&#[xX]"), F.conv(F.regexp_extract(ref, "[0-9a-fA-F]+(?=;)", 0), 16, 10)).otherwise(F.regexp_extract(ref, "[0-9]+", 0)).cast("int")
+    bad = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    numbered = F.when(bad, "\ufffd").otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    names = F.create_map(*[F.lit(x) for pair in {**NAMES, **OLD_NAMES, "amp": "&"}.items() for x in pair])
+    return F.when(ref.startswith("&#"), numbered).otherwise(names[F.regexp_extract(ref, "[a-zA-Z]+", 0)])
+
 
-    def number(pattern: str, base: int, digits: str):
-        def step(acc: Column, ref: Column) -> Column:
-            code = F.conv(F.regexp_extract(ref, digits, 0), base, 16)
-            char = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
-            return F.replace(acc, ref, char)
+def decoded(text: Column) -> Column:
+    """Character references as characters. The text is taken apart at its references and put together again, so nothing is decoded twice and the work
+    does not grow with the number of different references."""
 
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-        return lambda t: F.when(F.size(found) > 0, F.reduce(found, t, step)).otherwise(t)
+    def apart(t: Column) -> Column:
+        pieces = F.regexp_extract_all(t, F.lit(f"{_REFERENCE}|[^&]+|&"), F.lit(0))
+        return F.array_join(F.transform(pieces, lambda p: F.when(p.rlike(f"^{_REFERENCE}$"), _character(p)).otherwise(p)), "")
 
-    for pattern, base, digits in ((r"&#[0-9]{1,6};", 10, r"[0-9]+"), (r"&#[xX][0-9a-fA-F]{1,5};", 16, r"[0-9a-fA-F]+(?=;)")):
-        text = number(pattern, base, digits)(text)
-    for name, char in OLD_NAMES.items():
-        text = F.regexp_replace(text, f"&{name};?", char)
-    for name, char in NAMES.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
-    return F.regexp_replace(text, "&amp;?", "&")
+    return _once(text, lambda t: F.when(F.contains(t, F.lit("&")), apart(t)).otherwise(t))
 
 
 def plain(markup: Column) -> Column:
     """Markup to text: silent elements and tags to blanks, references decoded, white space collapsed."""
-    bare = F.regexp_replace(F.regexp_replace(markup, _SILENT, " "), _TAG, " ")
-    return F.trim(F.regexp_replace(decoded(bare), r"[\s\x0B ]+", " "))
+    return _spoken(F.regexp_replace(markup, _SILENT, " "))
+
+
+def _spoken(shown: Column) -> Column:
+    """As :func:`plain`, of markup without silent elements."""
+    return F.trim(F.regexp_replace(decoded(F.regexp_replace(shown, _TAG, " ")), r"[\s\x0B\u00a0]+", " "))
 
 
 def _inner(markup: Column, tag: str) -> Column:
@@ -142,23 +155,41 @@ def lead_image(html: Column, base: Column, bad: str = BAD_IMAGE) -> Column:
     return F.get(F.filter(full, lambda a: ~a.startswith("data:") & ~a.rlike(f"(?i){bad}")), 0)
 
 
-def main_text(html: Column, enough: int = ENOUGH) -> Column:
-    """Text from structured data, then from the article or main element, then from all paragraphs: each next place is asked only while
-    the text has fewer than ``enough`` characters, and the longer one stays."""
-    shown = F.regexp_replace(html, _SILENT, " ")
-    container = F.when(shown.rlike(r"(?i)<article\b"), _inner(shown, "article")).otherwise(_inner(shown, "main"))
-    paragraphs = F.regexp_extract_all(shown, F.lit(r"(?is)<p(?:\s[^>]*)?>(.*?)(?=</p\s*>|<p[\s>]|\z)"), F.lit(1))
-    places = [_body(_nodes(html)), plain(container), plain(F.array_join(paragraphs, " "))]
-    return reduce(lambda text, place: F.when(F.length(text) >= enough, text).otherwise(_longer(text, place)), places)
+def main_text(html: Column, enough: int = ENOUGH, readable: Column | None = None) -> Column:
+    """Text from the readable body where one is given, from structured data, then from the article or main element, then from all paragraphs: each next place is asked only
+    while the text has fewer than ``enough`` characters, and the longer one stays."""
+
+    def container(shown: Column) -> Column:
+        return _spoken(F.when(shown.rlike(r"(?i)<article\b"), _inner(shown, "article")).otherwise(_inner(shown, "main")))
+
+    def paragraphs(shown: Column) -> Column:
+        return _spoken(F.array_join(F.regexp_extract_all(shown, F.lit(r"(?is)<p(?:\s[^>]*)?>(.*?)(?=</p\s*>|<p[\s>]|\z)"), F.lit(1)), " "))
+
+    def from_markup(text: Column) -> Column:
+        def of(shown: Column) -> Column:
+            first = _once(container(shown), lambda c: _longer(text, c))
+            return _once(first, lambda t: F.when(F.length(t) >= enough, t).otherwise(_once(paragraphs(shown), lambda p: _longer(t, p))))
+
+        return F.when(F.length(text) >= enough, text).otherwise(_once(F.regexp_replace(html, _SILENT, " "), of))
+
+    told = _body(_nodes(html))
+    if readable is not None:
+        told = _once(readable, lambda r: F.when(F.length(r) >= enough, r).otherwise(_once(told, lambda b: _longer(r, b))))
+    return _once(told, from_markup)
 
 
-def extract(df: DataFrame, key: str = "page_id", max_chars: int | None = None, enough: int = ENOUGH, bad: str = BAD_IMAGE) -> DataFrame:
+def extract(
+    df: DataFrame, key: str = "page_id", max_chars: int | None = None, enough: int = ENOUGH, bad: str = BAD_IMAGE, readable: bool = False
+) -> DataFrame:
     """(key, url, title, text, image) of every page (``key``, ``url``, ``html``).
 
-    Texts are whole unless ``max_chars`` cuts them; ``bad`` is the pattern of pictures that do not count.
+    Texts are whole unless ``max_chars`` cuts them; ``bad`` is the pattern of pictures that do not count. ``readable`` looks for the text in the page's readable
+    body first, for which pages pass through Python; the other places are column expressions.
     """
     html = F.coalesce("html", F.lit(""))
-    text = main_text(html, enough)
+    if readable:
+        df = add_body(df.select(key, "url", "html"), "_readable")
+    text = main_text(html, enough, F.col("_readable") if readable else None)
     return df.select(
         key,
         "url",
