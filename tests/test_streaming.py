@@ -91,4 +91,58 @@ def test_late_rows_count_in_any_batch(spark):
         articles.store_unique(stream, once, f"{source}-b", "ts")
     got = {r.date.day: (r.open, r.close, r.volume) for r in bars.merged_bars(partials.read(spark, out)).collect()}
     assert got == {1: (10.0, 14.0, 2), 5: (11.0, 11.0, 1), 6: (12.0, 12.0, 1), 2: (13.0, 13.0, 1), 9: (15.0, 15.0, 1)}
-    assert sorted(r.canonical_url for r in partials.read(spark, once).collect()) == [f"https://n.example/{d}" for d in (1, 2, 5, 6, 9)]
+    assert sorted(r.canonical_url for r in articles.read_unique(spark, once, "ts").collect()) == [f"https://n.example/{d}" for d in (1, 2, 5, 6, 9)]
+
+
+def test_earliest_article_stays_in_any_order_and_through_merging(spark):
+    times = {"a": [5, 3, 9, 3, 1], "b": [2, 2, None, 4, 2], "c": [None, None, 7, 8, 6]}
+    schema = "canonical_url string, seq long, published_at timestamp, title string"
+    source, out, checkpoint = (scratch(spark, n) for n in ("feed", "kept", "cp"))
+    for batch in range(5):
+        rows = [(f"https://n.example/{u}?b={batch}", 10 * batch, t[batch] and datetime(2024, 1, t[batch]), f"{u}{batch}") for u, t in times.items()]
+        df = spark.createDataFrame(rows, schema)
+        df.write.mode("append").parquet(source)
+        articles.store_unique(sources.folder(spark, source, df.schema), out, checkpoint, order="seq", buckets=4)
+        if batch == 3:
+            held = partials.read(spark, out).count()
+            partials.compact(spark, out, lambda r: articles._earliest(r, "published_at", "seq"), ["bucket"])
+            assert partials.read(spark, out).count() == 3 < held and partials.read(spark, out).select("batch").distinct().count() == 1
+    got = {(r.canonical_url[-1], r.title, r.seq) for r in articles.read_unique(spark, out, order="seq").collect()}
+    assert got == {("a", "a4", 40), ("b", "b0", 0), ("c", "c4", 40)}
+
+
+def test_merging_that_was_broken_off_is_finished(spark):
+    path = scratch(spark, "broken")
+    for batch in range(3):
+        spark.range(batch, batch + 1).write.parquet(f"{path}/batch={batch}")
+    spark.range(3).write.parquet(f"{path}/{partials.MERGED}2")  # written to the end, old folders not yet deleted
+    partials._finish(spark, path)
+    assert sorted(r.id for r in partials.read(spark, path).collect()) == [0, 1, 2]
+
+
+def test_only_touched_buckets_are_read(spark):
+    path = scratch(spark, "buckets")
+    spark.createDataFrame([(f"u{i}", i, i % 4, "x") for i in range(40)], "canonical_url string, seq int, bucket int, body string").write.partitionBy("bucket").parquet(f"{path}/batch=0")
+    plan = articles.stored_keys(spark, path, 1, [2], ["canonical_url", "seq"])._jdf.queryExecution().executedPlan().toString()
+    assert "bucket#" in plan.split("PartitionFilters")[1].split("PushedFilters")[0] and "ReadSchema: struct<canonical_url:string,seq:int>" in plan
+
+
+def test_sessions_of_a_busy_key_are_spread(spark):
+    rng = np.random.default_rng(2)
+    start = datetime(2024, 1, 1)
+    rows = [("hot", start + timedelta(seconds=int(s))) for s in rng.integers(0, 4_000_000, 4000)] + [(f"k{i % 7}", start + timedelta(seconds=int(s))) for i, s in enumerate(rng.integers(0, 4_000_000, 900))]
+    rows += [("edge", start), ("edge", start + timedelta(minutes=10)), ("edge", start + timedelta(minutes=20, seconds=1)), ("edge", None)]
+    df = spark.createDataFrame(rows, "user string, ts timestamp")
+    parts = [bars.partial_sessions(df.filter(F.pmod(F.xxhash64("user", "ts"), F.lit(3)) == i), "user", "10 minutes") for i in range(3)]
+    out = bars.merged_sessions(parts[0].unionByName(parts[1]).unionByName(parts[2]), "user", "10 minutes")
+    want, held = [], {}
+    for user, ts in sorted((r for r in rows if r[1]), key=lambda r: r[1]):
+        if user in held and ts - held[user][2] <= timedelta(minutes=10):
+            held[user][2] = ts
+            held[user][3] += 1
+        else:
+            held[user] = [user, ts, ts, 1]
+            want.append(held[user])
+    assert sorted(map(tuple, out.select("user", "first_ts", "last_ts", "events").collect())) == sorted(map(tuple, want))
+    plan = parts[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Session" not in plan and "partial_count" in plan
