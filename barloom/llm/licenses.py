@@ -30,7 +30,8 @@ TEMPLATES = {
     "reserved": "All rights reserved",
     "unlicense": "This is free and unencumbered software released into the public domain",
 }
-CONTAINMENT = 0.8
+#: Share of a template's words that a block must hold in their order; templates of fewer than WHOLE words must be whole.
+CONTAINMENT, WHOLE = 0.8, 10
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -52,11 +53,15 @@ def places(found: list[bytes], phrase: list[bytes]) -> list[int]:
 
 
 class Template(NamedTuple):
-    """Tokens as numbers in the global order, the rarest first; ``need`` of them must be in a block."""
+    """``order``: the words as numbers, of which ``kept`` must stand in this order within ``span`` words. ``tokens``: the different ones, the rarest
+    first; ``need`` of them are then in the block."""
 
     label: str
     tokens: list[int]
     need: int
+    order: list[int]
+    kept: int
+    span: int
 
     @property
     def prefix(self) -> list[int]:
@@ -80,21 +85,44 @@ def frequencies(docs: DataFrame, text_col: str, vocabulary: set[bytes]) -> dict[
 
 def ordered(templates: dict[str, str], count: dict[bytes, int], containment: float) -> tuple[dict[bytes, int], list[Template]]:
     """(the number of each token by global frequency, the templates in these numbers)."""
-    sets = {label: set(words(text)) for label, text in templates.items()}
-    every = sorted(set().union(*sets.values()) if sets else [], key=lambda t: (count.get(t, 0), t))
+    lists = {label: words(text) for label, text in templates.items()}
+    every = sorted({w for own in lists.values() for w in own}, key=lambda t: (count.get(t, 0), t))
     number = {t: i for i, t in enumerate(every)}
-    return number, [Template(label, sorted(number[t] for t in s), math.ceil(containment * len(s) - 1e-9)) for label, s in sets.items() if s]
+    out = []
+    for label, own in lists.items():
+        if own:
+            kept = len(own) if len(own) < WHOLE else math.ceil(containment * len(own) - 1e-9)
+            tokens = sorted({number[t] for t in own})
+            out.append(Template(label, tokens, max(1, len(tokens) - (len(own) - kept)), [number[t] for t in own], kept, len(own) + len(own) // 4))
+    return number, out
 
 
 def blocks_of(found: list[bytes], number: dict[bytes, int], rare: frozenset[bytes], length: int) -> list[list[int]]:
-    """The template tokens of each block that has a prefix token, rarest first. Blocks are 2 x ``length`` words and begin every
+    """The words of each block that has a prefix token, as numbers in their order, -1 for words of no template. Blocks are 2 x ``length`` words and begin every
     ``length`` words, so every run of ``length`` words lies within one."""
     starts = set()
     for i, word in enumerate(found):
         if word in rare:
             starts.add(i // length * length)
             starts.add(max(0, i // length - 1) * length)
-    return [sorted({number[w] for w in found[s : s + 2 * length] if w in number}) for s in sorted(starts)]
+    return [[number.get(w, -1) for w in found[s : s + 2 * length]] for s in sorted(starts)]
+
+
+def in_order(block: list[int], order: list[int], kept: int, span: int) -> int:
+    """The most words of a template that stand in its order within ``span`` words of a block; 0 if fewer than ``kept``."""
+    best, heads = 0, set(order[: len(order) - kept + 1])
+    for at, token in enumerate(block):
+        if token in heads:
+            row = [0] * (len(order) + 1)
+            for word in block[at : at + span]:
+                if word >= 0:
+                    before = 0
+                    for k, wanted in enumerate(order, 1):
+                        before, row[k] = row[k], max(row[k], row[k - 1], before + 1 if word == wanted else 0)
+            best = max(best, row[-1])
+            if best == len(order):
+                break
+    return best if best >= kept else 0
 
 
 def scan(
@@ -102,10 +130,11 @@ def scan(
 ) -> DataFrame:
     """(id, n_words, n_base, first_word, last_word, base_labels, labels, score) per row.
 
-    Base labels come from phrases that stand word for word. A template's label is added where a block of the text has at least the
-    ``containment`` share of its distinct words: blocks and templates meet on prefix tokens of the global frequency order, pairs that
-    are too short or whose positions leave too few tokens are dropped, the rest is verified by intersection. ``score`` is the greatest
-    share among the templates found, 1 where a base phrase stands, else 0.
+    Base labels come from phrases that stand word for word. A template's label is added where a stretch of the text, a quarter longer than the template at most, has at
+    least the ``containment`` share of its words in their order; all of them where it has fewer than WHOLE words, so that no label comes from
+    common words alone. Blocks and templates meet on prefix tokens of the global frequency order, pairs that are too short or whose positions
+    leave too few tokens are dropped, then those whose intersection is too small, and the rest is held against the order. ``score`` is the greatest share among the
+    templates found, 1 where a base phrase stands, else 0.
 
     A null text counts as empty: no words, empty labels, null places. Repeated rows and null ids each return their row. An empty
     table gives no rows. Whole texts are read; other columns are not.
@@ -115,7 +144,7 @@ def scan(
     number, sets = ordered(templates, frequencies(docs, text_col, tokens), containment)
     at_rank = {i: t for t, i in number.items()}
     rare = frozenset(at_rank[i] for t in sets for i in t.prefix)
-    length = max([len(words(t)) for t in templates.values()], default=1)
+    length = max([t.span for t in sets], default=1)
     phrases = [(p.encode(), p.encode().split(), label) for p, label in PHRASES.items()]
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, row bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels array<string>, blocks array<array<int>>"
@@ -141,14 +170,33 @@ def scan(
     spark = docs.sparkSession
     # as many rows as the templates have prefix tokens
     index = spark.createDataFrame(
-        [(token, at, t.label, t.tokens, t.need) for t in sets for at, token in enumerate(t.prefix)], "token int, at int, label string, wanted array<int>, need int"
+        [(token, at, n, t.tokens, t.need) for n, t in enumerate(sets) for at, token in enumerate(t.prefix)], "token int, at int, template int, wanted array<int>, need int"
     )
-    blocks = counted.where("size(blocks) > 0").select("row", F.posexplode("blocks").alias("block", "held"))
+    blocks = counted.where("size(blocks) > 0").select("row", F.explode("blocks").alias("block"))
+    blocks = blocks.withColumn("held", F.expr("array_sort(array_distinct(filter(block, x -> x >= 0)))"))
     probes = blocks.select("row", "block", "held", F.posexplode("held").alias("place", "token"))
     rest = "least(place, at) + 1 + least(size(held) - place, size(wanted) - at) - 1"
     met = probes.join(F.broadcast(index), "token").where(f"size(held) >= need and {rest} >= need")
-    pairs = met.select("row", "label", "need", "wanted", F.size(F.array_intersect("held", "wanted")).alias("both")).where("both >= need")
-    labelled = pairs.groupBy("row").agg(F.collect_set("label").alias("more"), F.max(F.expr("both / size(wanted)")).alias("share"))
+    pairs = met.where("size(array_intersect(held, wanted)) >= need").select("row", "template", "block")
+
+    def verify(batches):
+        known: dict[tuple, int] = {}
+        for batch in batches:
+            rows, labels, shares = [], [], []
+            for row, n, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                key = n, *block
+                if key not in known:
+                    if len(known) >= 4096:
+                        known.clear()
+                    known[key] = in_order(block, sets[n].order, sets[n].kept, sets[n].span)
+                if known[key]:
+                    rows.append(row)
+                    labels.append(sets[n].label)
+                    shares.append(known[key] / len(sets[n].order))
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(labels, pa.string()), pa.array(shares, pa.float64())], ["row", "label", "share"])
+
+    agreed = map_batches(pairs, verify, "row bigint, label string, share double")
+    labelled = agreed.groupBy("row").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
     joined = counted.drop("blocks").join(stage(labelled, "labels"), "row", "left")
     both = F.array_union("base_labels", F.coalesce("more", F.array().cast("array<string>")))
     return joined.select(
