@@ -148,6 +148,52 @@ def tag_tickers(df: DataFrame, tickers: DataFrame, columns: Sequence[str] = ("ti
     return mentioned.join(tickers.select(F.upper("ticker").alias("ticker")).distinct(), "ticker").select("seq", "ticker")
 
 
+#: Words that, after a ticker, say that the company is meant.
+TRADED = ("STOCK", "SHARES")
+_NO_WORD = r"[^\p{L}\p{N}]+"
+
+
+def mention_forms(tickers: DataFrame) -> DataFrame:
+    """(ticker, form, phrase) of the ways in which an article may mention a company: the ticker in quotes, the ticker before a word of :data:`TRADED`, and
+    the name, where ``tickers`` (``ticker``) has a column ``name``. Phrases are words in capitals joined by blanks."""
+    spelled = lambda c: F.trim(F.regexp_replace(F.upper(c), _NO_WORD, " "))
+    word = spelled(F.col("ticker"))
+    forms = [F.struct(F.lit("quoted").alias("form"), word.alias("phrase"))]
+    forms += [F.struct(F.lit(w.lower()).alias("form"), F.concat(word, F.lit(f" {w}")).alias("phrase")) for w in TRADED]
+    if "name" in tickers.columns:
+        forms.append(F.struct(F.lit("name").alias("form"), spelled(F.col("name")).alias("phrase")))
+    out = tickers.select(F.upper("ticker").alias("ticker"), F.inline(F.array(*forms)))
+    return out.filter("phrase is not null and trim(phrase) <> ''").distinct()
+
+
+def tag_mentions(df: DataFrame, forms: DataFrame, columns: Sequence[str] = ("title", "snippet")) -> DataFrame:
+    """(seq, ticker, form) for every form in which an article mentions a ticker, so that a ticker that is a common word does not tag everything.
+
+    Texts become the distinct runs of as many words as some phrase has, and quoted passages as they are, which meet the phrases in an equi join. Only the different
+    numbers of words of the phrases come to the driver.
+    """
+    text_of = F.upper(F.concat_ws(" ", *columns))
+    sizes = sorted(r[0] for r in forms.filter("form <> 'quoted'").select(F.size(F.split("phrase", " "))).distinct().collect())
+    none = F.array().cast("array<string>")
+
+    def runs_of(words: Column, n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
+        return F.when(F.size(words) >= n, F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(none)
+
+    def runs(words: Column) -> Column:
+        return F.array_distinct(F.flatten(F.array(none, *[runs_of(words, n) for n in sizes])))
+
+    # the words are worked out once and named in the lambda
+    words = F.filter(F.split(text_of, _NO_WORD), lambda w: w != "")
+    quoted = F.transform(F.regexp_extract_all(text_of, F.lit(r'["“]([^"“”]+)["”]'), F.lit(1)), lambda q: F.trim(F.regexp_replace(q, _NO_WORD, " ")))
+    said = df.select("seq", F.flatten(F.transform(F.array(words), runs)).alias("plain"), F.array_distinct(quoted).alias("quoted"))
+    each = said.select("seq", F.explode("plain").alias("phrase"), F.lit(False).alias("_quoted")).unionAll(
+        said.select("seq", F.explode("quoted").alias("phrase"), F.lit(True).alias("_quoted"))
+    )
+    marked = forms.withColumn("_quoted", F.col("form") == "quoted")
+    return each.join(marked, ["phrase", "_quoted"]).select("seq", "ticker", "form").distinct()
+
+
 def summary_candidates(df: DataFrame, as_of: int, hours: int = RECENT_HOURS, by: Sequence[str] = ()) -> DataFrame:
     """Articles of the day of ``as_of``; a batch that has none gets those of the last ``hours``."""
     today = epoch_day(F.col("published_ts")) == epoch_day(F.lit(as_of))

@@ -219,6 +219,34 @@ def news_tag_tickers(spark, sf):
     return news.tag_tickers(articles(spark, sf), names)
 
 
+@query(
+    "news_tag_mentions",
+    f"""with {ARTICLES},
+firms as (
+  select distinct upper(string_split(text, ' ')[1]) as ticker, trim(regexp_replace(upper(string_split(text, ' ')[2] || ' ' || string_split(text, ' ')[3]), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) as name
+  from benchmark where regexp_matches(text, '^[A-Za-z]+ [A-Za-z]+ [A-Za-z]+ ')),
+articles as (select seq, upper(title || ' ' || case when seq % 3 = 0 then '"' || string_split(snippet, ' ')[1] || '" ' || string_split(snippet, ' ')[1] || ' stock ' else '' end || snippet) as t from fx_articles),
+words as (select seq, [w for w in regexp_split_to_array(t, '[^\\p{{L}}\\p{{N}}]+') if w <> ''] as w, t from articles),
+runs as (
+  select distinct seq, w[i] || ' ' || w[i + 1] as phrase from (select seq, w, unnest(range(1, len(w))) as i from words)),
+quotes as (
+  select distinct seq, trim(regexp_replace(q, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) as phrase
+  from (select seq, unnest(regexp_extract_all(t, '["“]([^"“”]+)["”]', 1)) as q from words))
+select distinct seq, ticker, 'stock' as form from runs join firms on phrase = ticker || ' STOCK'
+union all select distinct seq, ticker, 'shares' from runs join firms on phrase = ticker || ' SHARES'
+union all select distinct seq, ticker, 'name' from runs join firms on phrase = name
+union all select distinct seq, ticker, 'quoted' from quotes join firms on phrase = ticker""",
+)
+def news_tag_mentions(spark, sf):
+    """Companies are the first words of the benchmark items; every third snippet starts with its first word in quotes and as a stock."""
+    parts = F.split("text", " ")
+    firms = table(spark, sf, "benchmark").filter(F.col("text").rlike("^[A-Za-z]+ [A-Za-z]+ [A-Za-z]+ "))
+    firms = firms.select(parts[0].alias("ticker"), F.concat(parts[1], F.lit(" "), parts[2]).alias("name"))
+    first = F.split("snippet", " ")[0]
+    lead = F.when(F.col("seq") % 3 == 0, F.concat(F.lit('"'), first, F.lit('" '), first, F.lit(" stock "))).otherwise("")
+    return news.tag_mentions(articles(spark, sf).withColumn("snippet", F.concat(lead, F.col("snippet"))), news.mention_forms(firms))
+
+
 @query(
     "news_summary_candidates",
     f"""with {ARTICLES},

@@ -83,6 +83,14 @@ def test_candidates_of_one_batch_or_many(spark):
     assert pick(df.limit(0)) == []
 
 
+def test_common_words_need_a_form(spark):
+    texts = ['We all went "all in" and it was all good', 'Buy ALL stock now', 'all-shares index', 'He said “BRK.B” twice', 'Allstate Corp. rose', 'brk b shares', "", None]
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "seq long, title string, snippet string")
+    tickers = spark.createDataFrame([("all", "Allstate Corp"), ("BRK.B", None), ("IT", "")], "ticker string, name string")
+    got = sorted(map(tuple, news.tag_mentions(df, news.mention_forms(tickers)).collect()))
+    assert got == [(1, "ALL", "stock"), (2, "ALL", "shares"), (3, "BRK.B", "quoted"), (4, "ALL", "name"), (5, "BRK.B", "shares")]
+
+
 def one(spark, column):
     return spark.range(1).select(column.alias("x")).first()[0]
 
