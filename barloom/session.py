@@ -34,9 +34,9 @@ _TEMPORARY: dict[str, str] = {}  # by application, since the setting cannot be c
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
+    """This application's folder in the one that every executor can reach, which ``spark.checkpoint.dir`` names.
 
-    Only a local session, whose executors are this machine, may name none: then a new temporary folder is taken and kept for the rest
+    Staged tables stay there until :func:`clean`. Only a local session, whose executors are this machine, may name none: then a new temporary folder is taken and kept for the rest
     of the session. On a cluster such a folder would lose rows, so there it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -50,4 +50,10 @@ def shared_folder(spark: SparkSession) -> str:
         if application not in _TEMPORARY:
             _TEMPORARY[application] = tempfile.mkdtemp(prefix="barloom-")
         named = _TEMPORARY[application]
-    return named.rstrip("/")
+    return f"{named.rstrip('/')}/barloom-{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete what this application has staged. Frames that still read it fail afterwards, so call it when their results are written."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -5,6 +5,7 @@ import os
 import pytest
 
 from barloom import session
+from barloom.sources import tables
 
 
 class Conf(dict):
@@ -26,11 +27,24 @@ class Fake:
 def test_local_sessions_keep_one_temporary_folder():
     one, other = Fake("local[2]"), Fake("local[2]")
     assert session.shared_folder(one) == session.shared_folder(one) != session.shared_folder(other)
-    assert os.path.isdir(session.shared_folder(one))
+    assert os.path.isdir(os.path.dirname(session.shared_folder(one)))
 
 
 def test_clusters_must_name_one():
     for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             session.shared_folder(Fake(master))
-    assert session.shared_folder(Fake("yarn", "hdfs://x/shared/")) == "hdfs://x/shared"
+    assert session.shared_folder(Fake("yarn", "hdfs://x/shared/")) .startswith("hdfs://x/shared/barloom-app-")
+
+
+def test_clean_deletes_what_was_staged(spark, monkeypatch):
+    kept = session.shared_folder(spark)
+    frame = tables.stage(spark.range(3), "kept")
+    assert frame.count() == 3 and kept in frame.inputFiles()[0]
+    # the folder of the test session is still read by other tests, so one below it is cleaned
+    monkeypatch.setattr(session, "shared_folder", lambda s: f"{kept}/part")
+    spark.range(2).write.parquet(f"{kept}/part/x")
+    session.clean(spark)
+    assert frame.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{kept}/part/x")
