@@ -15,8 +15,8 @@ from barloom.llm.common import columns, map_batches, per_worker
 ORDER, CHUNK = 3, 1 << 16
 #: Rows per language, on average, that the trees are learned from.
 SAMPLE_ROWS = 500
-#: Most code lengths (contexts x bytes x languages) that an order of the trees keeps, the most frequent contexts first; a dropped context
-#: scores as its suffix.
+#: Most code lengths (contexts x bytes x languages) that are tabulated ahead for an order of the trees, the most frequent contexts first. The
+#: others are put together from the counts when they come: slower, with the same result.
 MAX_CELLS = 4_000_000
 #: A text of a language may have as many bits a byte as the median of its learned rows plus WIDE times the distance from there to their upper
 #: quartile, at least LEAST_BITS, and SPARE_BITS in all, about ten bytes that the language does not have, so that no text is told by one odd word.
@@ -84,12 +84,33 @@ def count(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample_row
     return halves
 
 
+class Rows:
+    """A sparse table: for each code in it the languages it has an entry for, and the entries."""
+
+    def __init__(self, codes: np.ndarray, langs: np.ndarray, values: np.ndarray):
+        """Codes ascend; a code comes once for each of its languages."""
+        self.codes, begins = np.unique(codes, return_index=True)
+        self.begins = np.append(begins, len(codes))
+        self.langs, self.values = langs, values
+
+    def add(self, codes: np.ndarray, out: np.ndarray) -> None:
+        """Add the entries of ``codes[i]`` to row i of ``out``."""
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        row = np.flatnonzero(self.codes[at] == codes)
+        begin, many = self.begins[at[row]], self.begins[at[row] + 1] - self.begins[at[row]]
+        entry = np.repeat(begin - np.append(0, many.cumsum()[:-1]), many) + np.arange(many.sum())
+        out[np.repeat(row, many), self.langs[entry]] += self.values[entry]
+
+
 class Trees:
     """Frozen code lengths. A context is the longest known suffix of the bytes before, up to three.
 
     In a context seen T times with D different next bytes, a byte seen c times has probability c / (T + D); any other byte costs the
     escape D / (T + D) and is then coded in the next shorter context, at last as one of 256 equal bytes. So the length of every byte
-    depends on its gram alone and is tabulated for all languages at once: ``bits[context, byte]`` is a row of one length per language.
+    depends on its gram alone: it is 8 bits and, for every order, an entry of its context, the escape, and one of its gram, which takes the
+    escape and the shorter lengths back where the language has the gram. Both tables hold what was seen and nothing else, so they grow with
+    the sample and not with the languages times the bytes. The lengths of frequent contexts are also tabulated for all languages at once, as
+    far as ``max_cells`` goes: ``bits[context, byte]`` is a row of one length per language. The others are summed up when they come.
     """
 
     def __init__(self, counts: list[tuple[str, int, int]], max_cells: int = MAX_CELLS):
@@ -107,50 +128,70 @@ class Trees:
         self.symbol[seen] = np.arange(1, self.size)
         size = self.size
         quad = [self.symbol[gram >> shift & 255] for shift in (24, 16, 8, 0)]
-        last = quad[3]
-        floor = np.full((1, size, n_lang), 8.0)  # one of 256 equal bytes
-        ids, bits = np.zeros(1, np.int64), floor  # ids: number of a context of the order at hand -> its row of bits
+        self.escapes: list[Rows] = []
+        self.grams: list[Rows] = []
+        ids, bits = np.zeros(1, np.int32), np.full((1, size, n_lang), 8.0, np.float32)  # one of 256 equal bytes
+        shorter_key, shorter_coded = np.zeros(0, np.int64), np.zeros(0)
         for order in range(ORDER + 1):
-            context = np.zeros(len(gram), np.int64)
-            for k in range(3 - order, 3):
-                context = context * size + quad[k]
-            known, where = np.unique(context, return_inverse=True)
-            weight = np.bincount(where, n, len(known))
-            most = max(1, max_cells // (size * n_lang))
-            if len(known) > most:
-                kept = np.sort(np.argsort(-weight, kind="stable")[:most])
-                place = np.full(len(known), -1, np.int64)
-                place[kept] = np.arange(len(kept))
-                use, known = place[where] >= 0, known[kept]
-                where = place[where]
-            else:
-                use = np.ones(len(gram), bool)
-            table = np.zeros((len(known), size, n_lang))
-            np.add.at(table, (where[use], last[use], lang[use]), n[use])
-            total, distinct = table.sum(axis=1, keepdims=True), (table > 0).sum(axis=1, keepdims=True)
-            shorter = bits[ids[known % size ** (order - 1)]] if order else np.broadcast_to(floor, table.shape)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                coded = np.log2(total + distinct) - np.log2(table)
-                escaped = np.log2(total + distinct) - np.log2(distinct) + shorter
-            own = np.where(table > 0, coded, np.where(total > 0, escaped, shorter))
+            code = np.zeros(len(gram), np.int64)
+            for k in range(3 - order, 4):
+                code = code * size + quad[k]
+            key, where = np.unique(code * n_lang + lang, return_inverse=True)
+            count_, own = np.bincount(where, n, len(key)), key % n_lang
+            context, where = np.unique(key // n_lang // size * n_lang + own, return_inverse=True)
+            total, distinct = np.bincount(where, count_, len(context)), np.bincount(where, minlength=len(context))
+            escape = np.log2(total + distinct) - np.log2(distinct)
+            coded = (np.log2(total + distinct))[where] - np.log2(count_)
+            # a gram that was seen has a suffix that was seen
+            suffix = key // n_lang % size**order * n_lang + own
+            before = shorter_coded[np.searchsorted(shorter_key, suffix)] if order else 8.0
+            self.escapes.append(Rows(context // n_lang, context % n_lang, escape))
+            self.grams.append(Rows(key // n_lang, own, coded - escape[where] - before))
+            shorter_key, shorter_coded = key, coded
+            # tabulated: the most frequent contexts, where the shorter one is tabulated too
+            known, where = np.unique(context // n_lang, return_inverse=True)
+            row = ids[known % size ** (order - 1)] if order else np.zeros(1, np.int32)
+            weight = np.where(row >= 0, np.bincount(where, total, len(known)), 0)
+            kept = np.sort(np.argsort(-weight, kind="stable")[: max(max_cells // (size * n_lang), int(order == 0))])
+            kept = kept[row[kept] >= 0]
+            tabled = bits[row[kept]].astype(np.float64)
+            spread = np.repeat(known[kept], size) * size + np.tile(np.arange(size), len(kept))
+            flat = tabled.reshape(-1, n_lang)
+            self.escapes[order].add(spread // size, flat)
+            self.grams[order].add(spread, flat)
             if order == 0:
-                ids, bits = np.zeros(1, np.int64), own
+                ids, bits = np.zeros(1, np.int32), tabled.astype(np.float32)
             else:
                 longer = ids[np.arange(size**order) % size ** (order - 1)]
-                longer[known] = len(bits) + np.arange(len(known))
-                ids, bits = longer, np.concatenate([bits, own])
+                longer[known] = -1
+                longer[known[kept]] = len(bits) + np.arange(len(kept))
+                ids, bits = longer, np.concatenate([bits, tabled.astype(np.float32)])
         self.ids = ids
-        self.bits = bits.reshape(-1, n_lang).astype(np.float32)
+        self.bits = bits.reshape(-1, n_lang)
+
+    def _rows(self, s: np.ndarray) -> np.ndarray:
+        """The code lengths, one row per byte, of symbols after the first three."""
+        size = self.size
+        code = (s[:-3] * size + s[1:-2]) * size + s[2:-1]
+        context = self.ids[code].astype(np.int64)
+        found = self.bits[np.maximum(context, 0) * size + s[3:]]
+        rest = np.flatnonzero(context < 0)
+        if len(rest):
+            gram = code[rest] * size + s[3:][rest]
+            exact = np.full((len(rest), len(self.langs)), 8.0)
+            for order in range(ORDER + 1):
+                longest = gram % size ** (order + 1)
+                self.escapes[order].add(longest // size, exact)
+                self.grams[order].add(longest, exact)
+            found[rest] = exact
+        return found
 
     def lengths(self, text: bytes) -> np.ndarray:
         """The code length of a text in every language, in bits."""
         total = np.zeros(len(self.langs))
         padded = self.symbol[np.frombuffer(b"   " + text, dtype=np.uint8)]
-        size = self.size
         for begin in range(0, len(text), CHUNK):
-            s = padded[begin : begin + CHUNK + 3]
-            context = self.ids[(s[:-3] * size + s[1:-2]) * size + s[2:-1]]
-            total += self.bits[context * size + s[3:]].sum(axis=0, dtype=np.float64)
+            total += self._rows(padded[begin : begin + CHUNK + 3]).sum(axis=0, dtype=np.float64)
         return total
 
     def switching(self, text: bytes) -> float:
@@ -158,11 +199,9 @@ class Trees:
         learned languages is as short as one of a single language. The choice itself costs the bits of the number of languages."""
         total = 0.0
         padded = self.symbol[np.frombuffer(b"   " + text, dtype=np.uint8)]
-        size = self.size
         for begin in range(0, len(text), CHUNK):
-            s = padded[begin : begin + CHUNK + 3]
-            context = self.ids[(s[:-3] * size + s[1:-2]) * size + s[2:-1]]
-            sums = np.add.reduceat(self.bits[context * size + s[3:]], np.arange(0, len(context), WINDOW), axis=0)
+            rows = self._rows(padded[begin : begin + CHUNK + 3])
+            sums = np.add.reduceat(rows, np.arange(0, len(rows), WINDOW), axis=0)
             total += float(sums.min(axis=1).sum(dtype=np.float64)) + len(sums) * np.log2(len(self.langs))
         return total
 
@@ -189,6 +228,8 @@ def predict(
     Held out, and never learned from, are rows whose crc32 of the id as text is 2 modulo 4. The trees learn from a hash sample of
     the other labelled rows, about ``sample_rows`` a language; only their distinct grams reach the driver. Every whole text is scored.
 
+    The score is the share of the language among the probabilities of whole texts, so it is 1.0 for nearly any text of more than a few words.
+
     A null text, one without a letter, and any text when no row is labelled get ``und`` and score 0. A null id is not held out and not
     learned from. Repeated rows each return their row. An empty table gives no rows. Other columns are not read.
     """

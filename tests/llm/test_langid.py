@@ -58,11 +58,18 @@ def test_code_lengths():
         assert np.allclose(trees.lengths(langid.letters(text)), want, rtol=1e-5)
 
 
-def test_few_cells_still_score():
+@pytest.mark.parametrize("max_cells", [0, 3000, 200_000, 4_000_000])
+def test_many_languages_are_coded_exactly(max_cells):
     rng = random.Random(2)
-    texts = [(lang, text_of(lang, rng)) for lang in WORDS for _ in range(5)]
-    trees = langid.Trees(counts_of(texts), max_cells=2000)
-    assert all(trees.predict(text_of(lang, rng))[0] == lang for lang in WORDS)
+    words = {f"l{i:02}": ["".join(rng.choices([chr(c) for c in range(97 + i % 9, 110 + i % 9)] + ["é", "ψ", "漢"], k=rng.randint(1, 7))) for _ in range(30)] for i in range(50)}
+    texts = [(lang, " ".join(rng.choices(own, k=40 if lang < "l40" else 8))) for lang, own in words.items()]
+    trees = langid.Trees(counts_of(texts), max_cells)
+    for text in [" ".join(rng.choices(words[lang], k=12)) for lang in ("l00", "l31", "l49")] + ["zzz", "漢字 ψé", "Ωmega x"]:
+        form = langid.letters(text)
+        want = [slow_bits(texts, lang, text) for lang in trees.langs]
+        assert np.allclose(trees.lengths(form), want, rtol=1e-5)
+        assert np.isclose(trees.switching(form[:60]), min(trees.lengths(form[:60])) + math.log2(50), rtol=1e-5)
+        assert trees.predict(text)[0] == trees.langs[int(np.argmin(want))]
 
 
 def test_table(spark):
