@@ -11,8 +11,8 @@ from barloom.llm.common import stage
 
 
 class Measure(NamedTuple):
-    """A measure in thousandths. Texts are rejected ``times`` the spread and ``slack`` beyond the median, the spread being that between
-    the median and the quantile at ``reach`` percent on the cleaner side; ``side`` 1 rejects above, -1 below."""
+    """A measure in thousandths. Texts are rejected beyond the median plus ``times`` the distance from there to the quantile at ``reach``
+    percent, and ``slack``; that quantile lies on the side where texts are rejected. ``side`` 1 rejects above, -1 below."""
 
     name: str
     sql: str
@@ -22,13 +22,15 @@ class Measure(NamedTuple):
     slack: int
 
 
-#: The words of a text are compared as they stand; measures are whole thousandths, so that every engine gives the same numbers.
+#: The words of a text are compared as they stand; measures are whole thousandths, so that every engine gives the same numbers. The quartile
+#: on the rejecting side moves with a group's own texts and not with junk that is under a quarter of them. Lines count four more than
+#: there are, so that one repeated line in a very short text is no large share.
 MEASURES = (
-    Measure("word_length", "1000 * word_chars div n_words", 1, 10, 4, 3000),
-    Measure("word_length_low", "1000 * word_chars div n_words", -1, 90, 4, 2000),
-    Measure("symbols", "1000 * n_symbols div n_words", 1, 10, 4, 100),
-    Measure("dup_lines", "1000 * n_dup_lines div n_words", 1, 10, 4, 100),
-    Measure("repeats", "1000 * n_repeat_words div n_words", 1, 10, 4, 400),
+    Measure("word_length", "1000 * word_chars div n_words", 1, 75, 6, 1000),
+    Measure("word_length_low", "1000 * word_chars div n_words", -1, 25, 6, 1000),
+    Measure("symbols", "1000 * n_symbols div n_words", 1, 75, 6, 50),
+    Measure("dup_lines", "1000 * n_dup_lines div (n_lines + 4)", 1, 75, 6, 250),
+    Measure("repeats", "1000 * n_repeat_words div n_words", 1, 75, 6, 350),
 )
 #: Values below 2**KEPT_BITS are their own bucket of a sketch; larger ones keep that many leading bits, an error under 1 part in 64.
 KEPT_BITS = 7
@@ -41,7 +43,7 @@ BLANKS, SYMBOLS = r"[\x20\x09-\x0D]+", r"[#*$%&|<>]"
 
 
 def counted(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` plus words (array), n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of the text."""
+    """``docs`` plus n_words, word_chars, n_symbols, n_lines (with a word), n_dup_lines and n_repeat_words of the text."""
     text = f"coalesce(`{text_col}`, '')"
     lines = rf"filter(split({text}, '\n', -1), x -> x rlike '[^\\x20\\x09-\\x0D]')"
     words = docs.withColumn("words", F.expr(rf"filter(split({text}, '[\\x20\\x09-\\x0D]+', -1), x -> x != '')")).withColumn("lines", F.expr(lines))
@@ -57,6 +59,7 @@ def counted(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "cast(size(words) as bigint) as n_words",
         "cast(length(array_join(words, '')) as bigint) as word_chars",
         rf"cast(regexp_count({text}, '[#*$%&|<>]') as bigint) as n_symbols",
+        "cast(size(lines) as bigint) as n_lines",
         "cast(size(lines) - size(array_distinct(lines)) as bigint) as n_dup_lines",
         f"cast(case when ordered is null then 0 else size(array_distinct(flatten(transform({twice}, i -> array(i, i + 1, i + 2))))) end as bigint) as n_repeat_words",
     )
@@ -128,7 +131,8 @@ def judge(
     """(id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept) per row.
 
     Rows that pass the base rules are kept unless a measure lies beyond the threshold of their language and source. Thresholds are
-    the median plus multiples of the spread on its clean side, which junk does not widen while it is less than half of a group.
+    the median plus multiples of the distance to the quartile on the side of junk, which junk does not move while it is less than a quarter
+    of a group, and a small floor, which decides where three quarters of a group have none of a measure.
 
     A null text has no words and fails. Null languages and sources are groups of their own. Repeated rows and null ids each return
     their row. An empty table gives no rows. Whole texts are counted; other columns are not read.

@@ -52,7 +52,7 @@ def _quality_sql() -> str:
         twice as (select rid, key from windows group by rid, key having count(*) > 1),
         repeats as (select rid, count(distinct p) as n from (select rid, unnest([i, i + 1, i + 2]) as p from windows join twice using (rid, key)) group by rid),
         counts as (select rid, doc_id, lang, source, cast(len(w) as bigint) as n_words, coalesce(length(array_to_string(w, '')), 0) as word_chars,
-            cast(len(regexp_extract_all(text, '[#*$%&|<>]')) as bigint) as n_symbols, cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines,
+            cast(len(regexp_extract_all(text, '[#*$%&|<>]')) as bigint) as n_symbols, len(lines) as n_lines, cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines,
             coalesce(n, 0) as n_repeat_words from s left join repeats using (rid)),
         judged as (select *, {failed} as base_failed from counts),
         passed as (select * from judged where not base_failed),

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 from barloom.llm import quality
+from barloom.llm.common import stage
 
 
 def slow_counts(text):
@@ -16,6 +17,12 @@ def slow_counts(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
 
 
+def slow_measures(text):
+    n, chars, symbols, dup_lines, repeated = slow_counts(text)
+    lines = sum(bool(re.search(r"[^\x20\x09-\x0D]", x)) for x in (text or "").split("\n"))
+    return [1000 * chars // n, 1000 * chars // n, 1000 * symbols // n, 1000 * dup_lines // (lines + 4), 1000 * repeated // n]
+
+
 def slow_bucket(v):
     shift = max(v.bit_length() - 7, 0)
     return v >> shift << shift
@@ -24,7 +31,7 @@ def slow_bucket(v):
 def slow_verdicts(rows, least):
     counts = [(key, slow_counts(text)) for key, text in rows]
     failed = [n < 50 or 100 * r > 50 * n for _, (n, _, _, _, r) in counts]
-    measures = [None if f else [1000 * c // n, 1000 * c // n, 1000 * s // n, 1000 * d // n, 1000 * r // n] for f, (_, (n, c, s, d, r)) in zip(failed, counts, strict=True)]
+    measures = [None if f else slow_measures(text) for f, (_, text) in zip(failed, rows, strict=True)]
 
     def limits(chosen):
         out = []
@@ -89,6 +96,55 @@ def test_clean_documents_stay(spark):
     assert not any(r["kept"] for r in rows if r["quality"] == 0)
 
 
+def page(rng, symbols=0.0, repeats=0.0, lines=0.0, letters=5):
+    """40 lines of six words: a share of words with a symbol, of lines with three words said before, of lines that are the first again, and the length of words."""
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=letters + rng.randint(-1, 1))) + "#" * (rng.random() < symbols)
+    made = []
+    for _ in range(40):
+        if made and rng.random() < lines:
+            made.append(made[0])
+        else:
+            old = rng.choice(made).split()[:3] if made and rng.random() < repeats else [word() for _ in range(3)]
+            made.append(" ".join(old + [word() for _ in range(3)]))
+    return "\n".join(made)
+
+
+def test_limits_move_with_the_source(spark):
+    """The same odd text is kept in a source where many are like it and rejected in one where none is, for every measure."""
+    rng = random.Random(8)
+    # a loose source varies up to the given value of its measure, the strict one beside it hardly varies
+    kinds = (("letters", (5, 9), 9), ("letters", (12, 7), 6), ("symbols", (0, 0.3), 0.3), ("lines", (0, 0.45), 0.45), ("repeats", (0, 0.5), 0.6))
+    rows, odd = [], {}
+    for number, (kind, (low, high), value) in enumerate(kinds):
+        base = {"letters": 12 if number == 1 else 5}
+        for i in range(quality.LEAST_ROWS + 100):
+            at = low + (high - low) * rng.random()
+            rows.append((i, page(rng, **base), "en", f"strict {number}"))
+            rows.append((i, page(rng, **{**base, kind: round(at) if kind == "letters" else at}), "en", f"loose {number}"))
+        odd[number] = slow_measures(page(rng, **{**base, kind: value}))[number]
+    measured = stage(quality.counted(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).drop("text"), "counts")
+    found = {r["source"]: r["limits"] for r in quality.thresholds(stage(quality.sketches(measured), "sketches")).collect()}
+    for number, m in enumerate(quality.MEASURES):
+        loose, strict = found[f"loose {number}"][number], found[f"strict {number}"][number]
+        assert m.side * (loose - strict) > 0, (number, loose, strict)
+        assert m.side * (odd[number] - strict) > 0 >= m.side * (odd[number] - loose), (number, odd[number], loose, strict)
+
+
+def test_repeated_lines_are_rejected(spark):
+    rng = random.Random(12)
+    rows = [(i, page(rng), "en", "a") for i in range(220)]
+    line = "subscribe to our letter and never miss any of the news again"
+    planted = []
+    for i in range(20):
+        lines = page(rng).split("\n")[:13]
+        for _ in range(8):
+            lines.insert(rng.randint(0, len(lines)), line)
+        planted.append((1000 + i, "\n".join(lines), "en", "a"))
+    got = quality.judge(spark.createDataFrame(rows + planted, "doc_id bigint, text string, lang string, source string")).where("not base_failed")
+    kept = {r["doc_id"]: r["kept"] for r in got.collect()}
+    assert all(kept[i] for i in range(220)) and not any(kept[1000 + i] for i in range(20) if 1000 + i in kept)
+
+
 def test_no_python_in_the_plan_and_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string")
     df = quality.judge(docs)
