@@ -113,7 +113,7 @@ def test_limits_move_with_the_source(spark):
     """The same odd text is kept in a source where many are like it and rejected in one where none is, for every measure."""
     rng = random.Random(8)
     # a loose source varies up to the given value of its measure, the strict one beside it hardly varies
-    kinds = (("letters", (5, 9), 9), ("letters", (12, 7), 6), ("symbols", (0, 0.3), 0.3), ("lines", (0, 0.45), 0.45), ("repeats", (0, 0.5), 0.6))
+    kinds = (("letters", (5, 9), 9), ("letters", (12, 7), 6), ("symbols", (0, 0.3), 0.3), ("lines", (0, 0.45), 0.45), ("repeats", (0, 0.5), 0.85))
     rows, odd = [], {}
     for number, (kind, (low, high), value) in enumerate(kinds):
         base = {"letters": 12 if number == 1 else 5}
