@@ -52,3 +52,9 @@ def test_stages(spark, tmp_path):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 50
+
+
+def test_no_documents(spark, tmp_path):
+    spark.createDataFrame([], "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.collect() == [] and {"doc_id", "piece", "sequence_id", "offset"} <= set(out.columns)
