@@ -6,6 +6,7 @@ import math
 import os
 import zlib
 from array import array
+from dataclasses import dataclass
 from unicodedata import normalize
 
 import numpy as np
@@ -18,8 +19,9 @@ from barloom.llm.common import columns, map_batches, per_worker, stage
 
 CAPACITY, END_ID = 2048, 0
 CACHE_WORDS, CACHE_BYTES = 700_000, 48
-#: Most pricing rounds of the linear program, and how strongly a length that lags behind in coverage gains price.
-ROUNDS, RATE = 150, 0.5
+#: Most pricing rounds of the linear program, how strongly a covered length's price falls, and how near to the best a content must be
+#: to be taken, also how near bound and solution must come.
+ROUNDS, RATE, CLOSE = 240, 0.5, 0.005
 #: Rows of one length that one task numbers.
 NUMBERED = 1000
 
@@ -175,46 +177,169 @@ def best_fit(left: dict[int, int], capacity: int) -> list[Bins]:
     return [bins for kinds in open_ for bins in kinds]
 
 
-def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, rate: float = RATE) -> list[Bins]:
-    """Bins that hold every length of the histogram exactly as often as it occurs, as few as the program finds.
+def fill(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every room up to ``capacity`` the greatest value that fits, any number of copies, and the item taken last there.
 
-    The covering program has a row for each length and a column for each content of a bin. A length's price starts at its share of a
-    bin, an optimal dual where bins can be filled, and is multiplied by exp(rate * lag), the lag of its covered share behind that of
-    all tokens. Each round the knapsack finds the content of greatest price, and as many whole bins of it are taken as half of what
-    is left allows. So the columns stay whole numbers. What a round leaves is rounded up by best-fit decreasing; of several rounds,
-    the one whose bins come out fewest is taken, the latest of equal ones.
+    One pass prices the contents around all lengths: the best with item i has its value and the best of the room it leaves. An item of
+    -1 means that the room one smaller is worth the same.
+    """
+    best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    fitting = np.searchsorted(lengths, np.arange(capacity + 1), side="right").tolist()
+    for room in range(1, capacity + 1):
+        best[room] = best[room - 1]
+        if fitting[room]:
+            offered = values[: fitting[room]] + best[room - lengths[: fitting[room]]]
+            item = int(offered.argmax())
+            if offered[item] > best[room] + 1e-12:
+                best[room], last[room] = offered[item], item
+    return best, last
+
+
+@dataclass
+class Program:
+    """The fractional configuration program: contents with weights that cover every length, prices, and the bound that they prove."""
+
+    weights: dict[tuple[tuple[int, int], ...], float]
+    prices: dict[int, float]
+    bound: float
+    rounds: int
+
+    @property
+    def size(self) -> float:
+        return sum(self.weights.values())
+
+    @property
+    def least(self) -> int:
+        """No packing has fewer bins."""
+        return math.ceil(self.bound - 1e-6)
+
+
+def program(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, rate: float = RATE, close: float = CLOSE) -> Program:
+    """Least total weight of contents that cover each length as often as it occurs, by multiplicative weights.
+
+    A row for each length, a column for each content of a bin. A length's price starts at its share of a bin, an optimal dual where bins
+    can be filled, and falls by exp(-step) when its coverage grows by its count, step being rate over the root of the round. Each round a knapsack prices, for every length, the
+    best content around it. Those within ``close`` of the best of all are taken in order of value, each with as much weight as
+    leaves no length's coverage grown by more than its count in the round. So a round's size is set by no single rare length, and
+    prices go stale by a factor of exp(step) at most. The rounds' weights times their steps, over the least coverage, are a solution;
+    the worth of all lengths at a round's prices over its best content is a bound, of which the greatest is kept. Ends when the two
+    meet within ``close``, or in whole bins.
     """
-    bins: list[Bins] = []
-    best: tuple[int, list[Bins]] | None = None
-
-    def rounded() -> tuple[int, list[Bins]]:
-        every = bins + best_fit(left, capacity)
-        count = sum(many for many, _ in every)
-        return (count, every) if best is None or count <= best[0] else best
-
-    left = {length: n for length, n in histogram.items() if n > 0}
-    if capacity in left:
-        bins.append((left.pop(capacity), [(capacity, 1)]))
-    total, begun = sum(length * n for length, n in left.items()), dict(left)
-    for done in range(rounds if len(left) > 1 else 0):
-        if done % max(1, rounds // 8) == 0 or done < 8:
-            best = rounded()
-        rest = sum(length * n for length, n in left.items())
-        if rest <= 4 * capacity or not left:
+    lengths = np.array(sorted(k for k, n in histogram.items() if n > 0), np.int64)
+    counts = np.array([histogram[k] for k in lengths.tolist()], float)
+    if not len(lengths):
+        return Program({}, {}, 0.0, 0)
+    sizes = lengths.tolist()
+    covered, taken = np.zeros(len(lengths)), {}
+    bound, prices, smallest = 0.0, lengths / capacity, None
+    done = 0
+    for done in range(1, rounds + 1):
+        values = lengths / capacity * np.exp(covered.min() - covered)
+        step = rate / math.sqrt(done)
+        best, last = fill(lengths, values, capacity)
+        worth = float(values @ counts) / best[capacity]
+        if worth > bound:
+            bound, prices = worth, values / best[capacity]
+        around = values + best[capacity - lengths]
+        free = counts.tolist()
+        for item in np.lexsort((covered, -np.round(around / best[capacity] / close))).tolist():
+            if around[item] < (1 - close) * best[capacity] and done % 4:
+                break
+            if free[item] <= 0:
+                continue
+            content, room = {item: 1}, capacity - sizes[item]
+            while room > 0:
+                other = int(last[room])
+                if other < 0:
+                    room -= 1
+                else:
+                    content[other] = content.get(other, 0) + 1
+                    room -= sizes[other]
+            weight = min(free[i] / min(n, counts[i]) for i, n in content.items())
+            if weight <= 0 and covered[item] > 0:
+                continue
+            if weight <= 0:  # not in any content so far, and its company is used up in this round
+                content, weight = {item: 1}, free[item]
+            for i, n in content.items():
+                free[i] -= weight * min(n, counts[i])
+            key = tuple(sorted(((sizes[i], int(min(n, counts[i]))) for i, n in content.items()), reverse=True))
+            taken[key] = taken.get(key, 0.0) + step * weight
+        covered += step * (1 - np.array(free) / counts)
+        least = covered.min()
+        if least > 0:
+            size = sum(taken.values()) / least
+            if smallest is None or size < smallest[0]:
+                smallest = (size, {key: weight / least for key, weight in taken.items()})
+            if size <= max(bound * (1 + close), math.ceil(bound - 1e-6)):
+                break
+    weights = smallest[1] if smallest else {((k, 1),): float(histogram[k]) for k in sizes}
+    return Program(weights, dict(zip(sizes, prices.tolist(), strict=True)), bound, done)
+
+
+def rounded(weights: dict[tuple[tuple[int, int], ...], float], left: dict[int, int]) -> list[Bins]:
+    """Whole bins of the contents, taken out of ``left``: running sums of weights are rounded down, so the total is kept."""
+    bins, total, given = [], 0.0, 0
+    for content, weight in sorted(weights.items(), reverse=True):
+        total += weight
+        many = min(int(total + 1e-9) - given, *(left.get(length, 0) // n for length, n in content))
+        if many > 0:
+            bins.append((many, list(content)))
+            given += many
+            for length, n in content:
+                left[length] -= many * n
+    return bins
+
+
+def dive(left: dict[int, int], prices: dict[int, float], capacity: int, rounds: int, lag: float) -> list[Bins]:
+    """Whole bins of the content of greatest price among what is left, taken out of ``left``, half of what it allows at a time.
+
+    A price is multiplied by exp(lag * the length's share not yet taken beyond that of all lengths).
+    """
+    begun, bins = {k: n for k, n in left.items() if n > 0}, []
+    worth = sum(prices[k] * n for k, n in begun.items())
+    for _ in range(rounds):
+        lengths = sorted((k for k, n in left.items() if n > 0), reverse=True)
+        if not lengths:
             break
-        lengths = sorted(left, reverse=True)
-        share = 1 - rest / total
-        values = [length / capacity * math.exp(rate * (share - 1 + left[length] / begun[length])) for length in lengths]
-        content = price(lengths, values, [left[length] for length in lengths], capacity)
-        if sum(length * n for length, n in content.items()) < capacity * 0.999:
+        share = 1 - sum(prices[k] * left[k] for k in lengths) / worth if worth else 0.0
+        values = [prices[k] * math.exp(lag * (share - 1 + left[k] / begun[k])) for k in lengths]
+        content = price(lengths, values, [left[k] for k in lengths], capacity)
+        if not content:
             break
-        many = max(1, min(left[length] // n for length, n in content.items()) // 2)
+        many = max(1, min(left[k] // n for k, n in content.items()) // 2)
         bins.append((many, sorted(content.items(), reverse=True)))
-        for length, n in content.items():
-            left[length] -= many * n
-            if not left[length]:
-                del left[length]
-    return rounded()[1]
+        for k, n in content.items():
+            left[k] -= many * n
+    return bins
+
+
+def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, rate: float = RATE) -> list[Bins]:
+    """Bins that hold every length of the histogram exactly as often as it occurs, as few as are found.
+
+    The fractional program is rounded, and what the rounding leaves is packed by best-fit decreasing. Where that takes more bins than the
+    program's bound, more ways to round are tried and the first of the fewest bins counts: whole bins of greatest price for what the
+    rounding leaves, the same for all lengths, with and without a higher price for lengths that lag behind, and best-fit for all lengths.
+    A twentieth of the rounds is tried first, which is enough where bins can be filled.
+    """
+    whole = {length: n for length, n in histogram.items() if n > 0}
+
+    def packed(solved: Program, fractional: bool, dives: int, lag: float = 0.0) -> list[Bins]:
+        left = dict(whole)
+        bins = rounded(solved.weights, left) if fractional else []
+        bins += dive(left, solved.prices, capacity, dives, lag)
+        return bins + best_fit({length: n for length, n in left.items() if n > 0}, capacity)
+
+    fewest: tuple[int, list[Bins]] | None = None
+    for effort in (math.ceil(rounds / 20), rounds):
+        solved = program(whole, capacity, effort, rate)
+        for way in ((True, 0), (False, 0), (True, effort), (False, effort, rate), (False, effort)):
+            bins = packed(solved, *way)
+            size = sum(many for many, _ in bins)
+            if fewest is None or size < fewest[0]:
+                fewest = (size, bins)
+            if size <= solved.least:
+                return bins
+    return fewest[1]
 
 
 def _places(bins: list[Bins]) -> dict[int, np.ndarray]:

@@ -83,6 +83,96 @@ def test_program():
     assert sum(many for many, _ in bins) <= 1.001 * -(-sum(length * n for length, n in histogram.items()) // 2048)
 
 
+def size_of(bins, histogram, capacity=2048):
+    """Number of bins, after checking that they hold the histogram and nothing overflows."""
+    held = Counter()
+    for many, content in bins:
+        assert many > 0 and sum(length * n for length, n in content) <= capacity
+        for length, n in content:
+            held[length] += many * n
+    assert held == Counter({k: n for k, n in histogram.items() if n})
+    return sum(many for many, _ in bins)
+
+
+#: Histograms by kind: lengths to draw from, draws, whether best-fit is known to leave bins that the program saves.
+SHAPES = {
+    "three lengths": ([501, 690, 800], 3000, True),
+    "seven lengths": ([300, 411, 702, 555, 999, 1024, 130], 30_000, True),
+    "narrow": (range(400, 501), 30_000, True),
+    "quarters to halves": (range(513, 1001, 4), 30_000, True),
+    "thirds": (range(560, 1101, 6), 6_000, False),
+    "over halves": (range(1025, 2049, 8), 3_000, False),
+    "few texts": (range(200, 901), 300, False),
+    "short ones": (range(1, 60), 3_000, False),
+    "one length": ([700], 1_000, False),
+    "exact halves": ([1024, 512, 256], 4_000, False),
+}
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_bound_and_best_fit(shape):
+    """Never over best-fit, never under the bound that the program proves, and fewer bins where best-fit leaves room."""
+    lengths, draws, better = SHAPES[shape]
+    rng = random.Random(shape)
+    histogram = dict(Counter(rng.choice(lengths) for _ in range(draws)))
+    solved = packing.program(histogram)
+    size = size_of(packing.solve(histogram), histogram)
+    plain = size_of(packing.best_fit(histogram, 2048), histogram)
+    assert solved.least <= size <= plain
+    assert size < plain or not better
+    if len(lengths) < 10:
+        assert size <= 1.01 * solved.bound + 1
+
+
+def test_fractional_cover():
+    """The weights cover every length, their contents fit, and their total is no less than the bound."""
+    rng = random.Random(4)
+    for kinds in (1, 2, 5, 60):
+        histogram = {rng.randint(1, 2048): rng.randint(1, 400) for _ in range(kinds)}
+        solved = packing.program(histogram)
+        covered = Counter()
+        for content, weight in solved.weights.items():
+            assert sum(length * n for length, n in content) <= 2048
+            for length, n in content:
+                covered[length] += n * weight
+        assert all(covered[length] >= n * (1 - 1e-9) for length, n in histogram.items())
+        assert solved.bound <= solved.size * (1 + 1e-9)
+
+
+def optimum(lengths, capacity):
+    """Fewest bins, by trying all."""
+    best = len(lengths)
+
+    def place(at, free):
+        nonlocal best
+        if len(free) >= best:
+            return
+        if at == len(lengths):
+            best = len(free)
+            return
+        for i in {f: i for i, f in enumerate(free) if f >= lengths[at]}.values():
+            place(at + 1, [*free[:i], free[i] - lengths[at], *free[i + 1 :]])
+        place(at + 1, [*free, capacity - lengths[at]])
+
+    place(0, [])
+    return best
+
+
+def test_small_optima():
+    rng = random.Random(12)
+    for _ in range(60):
+        capacity = rng.randint(10, 30)
+        lengths = sorted((rng.randint(2, capacity) for _ in range(rng.randint(1, 9))), reverse=True)
+        histogram = dict(Counter(lengths))
+        best = optimum(lengths, capacity)
+        assert packing.program(histogram, capacity).least <= best
+        assert size_of(packing.solve(histogram, capacity), histogram, capacity) == best
+
+
+def test_no_lengths():
+    assert packing.solve({}) == [] and packing.solve({5: 0}) == []
+
+
 def test_knapsack():
     rng = random.Random(2)
     for _ in range(30):
