@@ -22,6 +22,8 @@ CACHE_WORDS, CACHE_BYTES = 700_000, 48
 #: Most pricing rounds of the linear program, how strongly a covered length's price falls, and how near to the best a content must be
 #: to be taken, also how near bound and solution must come.
 ROUNDS, RATE, CLOSE = 240, 0.5, 0.005
+#: Share of bins over the program's bound at which no further ways are tried.
+GAP = 0.0005
 #: Rows of one length that one task numbers.
 NUMBERED = 1000
 
@@ -317,7 +319,7 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROU
     """Bins that hold every length of the histogram exactly as often as it occurs, as few as are found.
 
     The fractional program is rounded, and what the rounding leaves is packed by best-fit decreasing. Where that takes more bins than the
-    program's bound, more ways to round are tried and the first of the fewest bins counts: whole bins of greatest price for what the
+    program's bound by over ``GAP`` of it, more ways to round are tried and the first of the fewest bins counts: whole bins of greatest price for what the
     rounding leaves, the same for all lengths, with and without a higher price for lengths that lag behind, and best-fit for all lengths.
     A twentieth of the rounds is tried first, which is enough where bins can be filled.
     """
@@ -337,7 +339,7 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROU
             size = sum(many for many, _ in bins)
             if fewest is None or size < fewest[0]:
                 fewest = (size, bins)
-            if size <= solved.least:
+            if size <= solved.least * (1 + GAP):
                 return bins
     return fewest[1]
 
