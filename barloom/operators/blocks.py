@@ -23,7 +23,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from barloom.sources.tables import stage
+
 BLOCK_ROWS = 8192
+#: Rows that one task of ``place`` sorts, so that its memory stays the same when the input grows.
+TASK_ROWS = 250_000
 
 
 @dataclass(frozen=True)
@@ -33,6 +37,7 @@ class Placed:
     df: DataFrame
     keys: tuple[str, ...]
     order: str
+    rows: int  # most rows of a block, with the borrowed ones
 
     @property
     def window(self) -> WindowSpec:
@@ -43,7 +48,7 @@ class Placed:
         return self.window.rowsBetween(-(rows - 1), 0)
 
     def with_df(self, df: DataFrame) -> "Placed":
-        return Placed(df, self.keys, self.order)
+        return Placed(df, self.keys, self.order, self.rows)
 
     def with_columns(self, columns: dict[str, Column]) -> "Placed":
         return self.with_df(self.df.withColumns(columns))
@@ -64,8 +69,9 @@ def place(
 
     Adds ``_blk``, ``_n`` (position in the block, from 1), ``_pos`` (position in the whole series, from 0) and ``_own`` (false for
     borrowed rows).
-    Costs one shuffle of the rows by (key, block). The placement table has one row per (key, chunk), so the
-    planner may broadcast it when it is small, and joins it by shuffle when it is not.
+    Costs one shuffle of the rows by (key, block). The placement table has one row per (key, chunk, block) and is staged, so the
+    planner may broadcast it when it is small, and joins it by shuffle when it is not. It tells the longest series and the number of rows, and so of tasks: one
+    per ``TASK_ROWS`` rows, as adaptive execution would merge them by their packed size, which says little of the memory that a sort takes.
     """
     keys = list(keys)
     tagged = df.withColumn("_chunk", F.year(order) if chunk is None else chunk)
@@ -81,7 +87,9 @@ def place(
     ).select(
         *keys,
         "_chunk",
+        "_n",
         "_first",
+        "_total",
         F.explode(
             F.sequence(
                 F.expr(f"_first div {block_rows}"),
@@ -89,20 +97,23 @@ def place(
             )
         ).alias("_blk"),
     )
+    homes = stage(homes, "homes")
+    rows, longest = homes.agg(F.sum("_n"), F.max("_total")).first()
+    tasks = max(-(-(rows or 0) // TASK_ROWS), df.sparkSession.sparkContext.defaultParallelism)
     group = Window.partitionBy(*keys, "_blk")
     # An outer join can only broadcast the placement table, never the rows; conditions below are null-safe so that it stays one. The
     # explicit shuffle splits a key's blocks even where the
     # rows arrive partitioned by key alone, which a window over (key, block) would otherwise accept.
     placed = (
-        tagged.join(homes, [*keys, "_chunk"], "left")
-        .repartition(*keys, "_blk")
+        tagged.join(homes.drop("_n", "_total"), [*keys, "_chunk"], "left")
+        .repartition(tasks, *keys, "_blk")
         .withColumn("_n", F.row_number().over(group.orderBy(order)))
         .withColumn("_pos", F.min("_first").over(group) + F.col("_n") - 1)
         .withColumn("_own", F.expr(f"_pos div {block_rows} <=> _blk"))
-        .filter(F.coalesce(F.col("_pos") < (F.col("_blk") + 1) * block_rows, F.lit(False)))
+        .filter(F.coalesce(F.col("_pos").between(F.col("_blk") * block_rows - lookback, (F.col("_blk") + 1) * block_rows - 1), F.lit(False)))
         .drop("_chunk", "_first")
     )
-    return Placed(placed, tuple(keys), order)
+    return Placed(placed, tuple(keys), order, min(block_rows + lookback, longest or 0))
 
 
 @dataclass(frozen=True)

@@ -70,11 +70,12 @@ def add(
     lookback = 0
     for i in indicators:
         lookback = lookback + i.extra if i.extra else max(lookback, i.lookback)
-    placed = place(df, keys, order, lookback, block_rows, chunk)
+    means = [m for i in indicators for m in i.means]
+    # a block that holds fewer rows than it borrows would copy every row several times
+    placed = place(df, keys, order, lookback, max(block_rows, lookback), chunk)
     for i in indicators:
         if i.before:
             placed = i.before(placed)
-    means = [m for i in indicators for m in i.means]
     prior = [p for i in indicators for p in i.prior]
     if means:
         placed = placed.with_df(exponential(placed, means, prior, keep_state))
@@ -122,58 +123,85 @@ def _spans(means: Sequence[Ewm]) -> dict[str, int]:
     return found
 
 
+def _whole_rows(mean: Ewm) -> int:
+    """Rows over which a mean's scaled sums can run without a new start."""
+    return int(REPRESENTABLE / -math.log1p(-mean.alpha))
+
+
+def _levels(means: Sequence[Ewm]) -> list[list[Ewm]]:
+    """Means that build on columns or on means of the levels before."""
+    depth: dict[str, int] = {}
+    for m in means:
+        depth[m.name] = max(depth.get(m.source, -1), depth.get(m.minus or "", -1)) + 1
+    return [[m for m in means if depth[m.name] == d] for d in range(max(depth.values(), default=-1) + 1)]
+
+
 def exponential(placed: Placed, means: list[Ewm], prior: list[tuple[str, tuple[str, ...], float]], keep_state: bool = False) -> DataFrame:
     """All exponential means as window expressions.
 
-    A row maps the mean before it to a * mean + b * value, so the mean is P * sum(b * value / P) with P the product of the a so far. P would leave the range of doubles,
-    so products and sums start anew after every span of rows: the last value of the span before enters with weight P, and what came before that weighs less than
+    A row maps the mean before it to a * mean + b * value, so the mean is P * sum(b * value / P) with P the product of the a so far. Means that do not build on each
+    other share their windows, and all windows the sort of the block. Where a block has so many rows that P would leave the range of doubles,
+    products and sums start anew after every span of rows: the last value of the span before enters with weight P, and what came before that weighs less than
     double precision. A missing value keeps the mean, and the next value weighs more, as its predecessor is further away.
     """
-    spans = _spans(means)
+    spans = _spans([m for m in means if m.alpha < 1 and placed.rows > _whole_rows(m)])
     root: dict[str, str] = {}  # which values are missing: those of a column, or all before its first
     named = [*placed.keys, "_blk"]
     until = placed.window.rowsBetween(Window.unboundedPreceding, 0)
     earlier = placed.window.rowsBetween(Window.unboundedPreceding, -1)
     resumed = "_live" in placed.df.columns
     helpers = set()
-    for m in means:
-        origin = root.get(m.source, m.source)
-        root[m.name] = f"{origin.removesuffix('+')}+"  # a mean goes on over missing values
-        value = F.col(m.source) if m.minus is None else F.col(m.source) - F.col(m.minus)
-        if resumed:
-            seed = SEED + m.name.strip("_")
-            value = F.when(F.col("_live"), F.coalesce(seed, value) if seed in placed.df.columns else value)
-        x = f"_x{m.name}"
-        placed = placed.with_columns({x: value.cast("double")})
-        if m.alpha >= 1:
-            placed = placed.with_columns({m.name: F.last(x, ignorenulls=True).over(until)})
-            placed = placed.with_df(placed.df.drop(x))
-            continue
-        rows, cap = spans[m.name], spans[m.name] // 4
-        gap, span = f"_gap_{origin}", f"_span{rows}_{origin}"
-        seen = F.col(x).isNotNull()
-        if gap not in helpers:
-            placed = placed.with_columns({gap: F.when(seen, F.col("_n") - F.last(F.when(seen, F.col("_n")), ignorenulls=True).over(earlier))})
-        if span not in helpers:
-            placed = placed.with_columns({span: F.sum(F.when(F.col(gap).isNotNull(), F.least(gap, F.lit(cap))).otherwise(0)).over(until)})
-            placed = placed.with_columns({span: F.expr(f"`{span}` div {rows}")})
-        helpers |= {gap, span}
-        # the windows below sort by key, block, span and order, so one sort serves them
-        inside = Window.partitionBy(*named, span).orderBy(placed.order).rowsBetween(Window.unboundedPreceding, 0)
-        across = Window.partitionBy(*named).orderBy(span, placed.order)
-        fade = F.pow(F.lit(1 - m.alpha), F.least(F.col(gap), F.lit(cap)))
-        opens, plain = seen & F.col(gap).isNull(), F.col(gap) == 1
-        keep = F.when(~seen | opens, 1.0).when(plain, 1 - m.alpha).otherwise(fade / (fade + m.alpha))
-        gain = F.when(~seen, 0.0).when(opens, 1.0).when(plain, m.alpha).otherwise(m.alpha / (fade + m.alpha))
-        # what is averaged is the distance to the first value, so that a series which does not move has exact means
-        placed = placed.with_columns({"_first": F.first(x, ignorenulls=True).over(until)})
-        placed = placed.with_columns({"_keep": keep, "_add": gain * F.coalesce(F.col(x) - F.col("_first"), F.lit(0.0))})
-        placed = placed.with_columns({"_p": F.product("_keep").over(inside)})
-        placed = placed.with_columns({"_part": F.col("_p") * F.sum(F.col("_add") / F.col("_p")).over(inside)})
-        placed = placed.with_columns({"_left": F.when(F.lag(span).over(across) < F.col(span), F.lag("_part").over(across))})
-        entered = F.last("_left", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, 0))
-        placed = placed.with_columns({m.name: F.col("_first") + F.col("_part") + F.col("_p") * F.coalesce(entered, F.lit(0.0))})
-        placed = placed.with_df(placed.df.drop(x, "_first", "_keep", "_add", "_p", "_part", "_left"))
+    for level in _levels(means):
+        values, known, counts, origins = {}, {}, {}, {}
+        for m in level:
+            origins[m.name] = root.get(m.source, m.source)
+            root[m.name] = f"{origins[m.name].removesuffix('+')}+"  # a mean goes on over missing values
+            value = F.col(m.source) if m.minus is None else F.col(m.source) - F.col(m.minus)
+            if resumed:
+                seed = SEED + m.name.strip("_")
+                value = F.when(F.col("_live"), F.coalesce(seed, value) if seed in placed.df.columns else value)
+            x, gap = f"_x{m.name}", f"_gap_{origins[m.name]}"
+            values[x] = value.cast("double")
+            if m.alpha >= 1:
+                known[m.name] = F.last(x, ignorenulls=True).over(until)
+                continue
+            # what is averaged is the distance to the first value, so that a series which does not move has exact means
+            known[f"_first{m.name}"] = F.first(x, ignorenulls=True).over(until)
+            seen = F.col(x).isNotNull()
+            if gap not in helpers:
+                known[gap] = F.when(seen, F.col("_n") - F.last(F.when(seen, F.col("_n")), ignorenulls=True).over(earlier))
+            helpers.add(gap)
+            if m.name in spans:
+                rows = spans[m.name]
+                counts[f"_span{rows}_{origins[m.name]}"] = rows, F.sum(F.when(F.col(gap).isNotNull(), F.least(gap, F.lit(rows // 4))).otherwise(0)).over(until)
+        placed = placed.with_columns(values).with_columns(known)
+        counts = {n: c for n, c in counts.items() if n not in helpers}
+        placed = placed.with_columns({n: c for n, (_, c) in counts.items()}).with_columns({n: F.expr(f"`{n}` div {rows}") for n, (rows, _) in counts.items()})
+        helpers |= set(counts)
+        fading = [m for m in level if m.alpha < 1]
+        weights, products, parts, ends, found = {}, {}, {}, {}, {}
+        for m in fading:
+            span = f"_span{spans[m.name]}_{origins[m.name]}" if m.name in spans else None
+            # the windows of a span sort by key, block, span and order, so one sort serves them
+            inside = Window.partitionBy(*named, span).orderBy(placed.order).rowsBetween(Window.unboundedPreceding, 0) if span else until
+            x, gap = F.col(f"_x{m.name}"), F.col(f"_gap_{origins[m.name]}")
+            seen = x.isNotNull()
+            fade = F.pow(F.lit(1 - m.alpha), F.least(gap, F.lit(spans[m.name] // 4)) if span else gap)
+            opens, plain = seen & gap.isNull(), gap == 1
+            weights[f"_keep{m.name}"] = F.when(~seen | opens, 1.0).when(plain, 1 - m.alpha).otherwise(fade / (fade + m.alpha))
+            gain = F.when(~seen, 0.0).when(opens, 1.0).when(plain, m.alpha).otherwise(m.alpha / (fade + m.alpha))
+            weights[f"_add{m.name}"] = gain * F.coalesce(x - F.col(f"_first{m.name}"), F.lit(0.0))
+            products[f"_p{m.name}"] = F.product(f"_keep{m.name}").over(inside)
+            parts[f"_part{m.name}"] = F.col(f"_p{m.name}") * F.sum(F.col(f"_add{m.name}") / F.col(f"_p{m.name}")).over(inside)
+            mean = F.col(f"_first{m.name}") + F.col(f"_part{m.name}")
+            if span:
+                across = Window.partitionBy(*named).orderBy(span, placed.order)
+                ends[f"_left{m.name}"] = F.when(F.lag(span).over(across) < F.col(span), F.lag(f"_part{m.name}").over(across))
+                entered = F.last(f"_left{m.name}", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, 0))
+                mean = mean + F.col(f"_p{m.name}") * F.coalesce(entered, F.lit(0.0))
+            found[m.name] = mean
+        placed = placed.with_columns(weights).with_columns(products).with_columns(parts).with_columns(ends).with_columns(found)
+        placed = placed.with_df(placed.df.drop(*values, *[n for n in known if n.startswith("_first")], *weights, *products, *parts, *ends))
     df = placed.df.drop(*helpers)
     at = _seen_before(placed)
     if keep_state:

@@ -131,3 +131,43 @@ def test_require_all_buys_on_a_rising_histogram_below_the_band(spark):
     buy = (x < mid - 2 * std) & (got.rsi < 60) & (got.macd_hist > -0.3) & (was <= -0.3)
     sell = (x > mid + 2 * std) | (got.rsi > 70) | (got.macd_hist < -0.3)
     assert (got.buy_signal == buy).all() and (got.sell_signal == sell).all()
+
+
+def means_of(pdf, fast, slow, signal):
+    out = pdf.sort_values(["ticker", "date"]).copy()
+    ewm = lambda span: out.groupby("ticker")["close"].transform(lambda c: c.ewm(span=span, adjust=False).mean())
+    out["macd"] = ewm(fast) - ewm(slow)
+    out["macd_signal"] = out.groupby("ticker")["macd"].transform(lambda c: c.ewm(span=signal, adjust=False).mean())
+    return out
+
+
+@pytest.mark.parametrize("fast,slow,signal", [(12, 26, 9), (100, 200, 50), (2, 200, 3)])
+def test_means_of_any_span_equal_whole_series(spark, fast, slow, signal):
+    df, pdf = skewed(spark)
+    got = indicators.add(df, indicators.macd("ewm", fast, slow, signal), block_rows=64).toPandas().sort_values(["ticker", "date"])
+    want = means_of(pdf, fast, slow, signal)
+    for c in ("macd", "macd_signal"):
+        assert np.allclose(got[c].to_numpy(), want[c].to_numpy(), rtol=0, atol=1e-9)
+
+
+def test_blocks_borrow_no_more_rows_than_they_hold(spark, monkeypatch):
+    df, _ = skewed(spark)
+    seen = []
+    monkeypatch.setattr(indicators, "place", lambda *args: seen.append(blocks.place(*args)) or seen[-1])
+    indicators.add(df, indicators.rsi("wilder", rows=20), block_rows=64)
+    assert seen[0].df.count() <= 3 * df.count()
+    assert seen[0].df.groupBy("ticker", "_blk").count().agg(F.max("count")).first()[0] <= seen[0].rows
+
+
+def test_means_add_no_sort_of_their_own(spark):
+    df, _ = skewed(spark, 300)
+    out = indicators.add(df, *signals.mean_reversion())
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert sum("_blk#" in line for line in plan.splitlines() if " Sort [" in line) == 1
+
+
+def test_tasks_of_place_follow_the_rows(spark, monkeypatch):
+    df, _ = skewed(spark)
+    monkeypatch.setattr(blocks, "TASK_ROWS", 50)
+    placed = blocks.place(df, ["ticker"], "date", 5, 366)
+    assert placed.df.rdd.getNumPartitions() >= df.count() // 50
