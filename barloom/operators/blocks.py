@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from barloom.sources.tables import stage
 
 BLOCK_ROWS = 8192
-#: Rows that one task of ``place`` sorts, so that its memory stays the same when the input grows.
+#: Rows that one task of ``place`` or ``running`` sorts, so that its memory stays the same when the input grows.
 TASK_ROWS = 250_000
+#: Rows up to which a table of blocks or chunks may be broadcast; its packed files hide how large it is in memory.
+BROADCAST_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -57,6 +59,14 @@ class Placed:
         return self.df.filter("_own").drop("_blk", "_n", "_pos", "_own", *drop)
 
 
+def _tasks(df: DataFrame, rows: int | None) -> int:
+    return max(-(-(rows or 0) // TASK_ROWS), df.sparkSession.sparkContext.defaultParallelism)
+
+
+def _joinable(summary: DataFrame, rows: int) -> DataFrame:
+    return summary if rows <= BROADCAST_ROWS else summary.hint("merge")
+
+
 def place(
     df: DataFrame,
     keys: Sequence[str],
@@ -98,15 +108,15 @@ def place(
         ).alias("_blk"),
     )
     homes = stage(homes, "homes")
-    rows, longest = homes.agg(F.sum("_n"), F.max("_total")).first()
-    tasks = max(-(-(rows or 0) // TASK_ROWS), df.sparkSession.sparkContext.defaultParallelism)
+    rows, longest, places = homes.agg(F.sum("_n"), F.max("_total"), F.count(F.lit(1))).first()
+    homes = _joinable(homes.drop("_n", "_total"), places)
     group = Window.partitionBy(*keys, "_blk")
     # An outer join can only broadcast the placement table, never the rows; conditions below are null-safe so that it stays one. The
     # explicit shuffle splits a key's blocks even where the
     # rows arrive partitioned by key alone, which a window over (key, block) would otherwise accept.
     placed = (
-        tagged.join(homes.drop("_n", "_total"), [*keys, "_chunk"], "left")
-        .repartition(tasks, *keys, "_blk")
+        tagged.join(homes, [*keys, "_chunk"], "left")
+        .repartition(_tasks(df, rows), *keys, "_blk")
         .withColumn("_n", F.row_number().over(group.orderBy(order)))
         .withColumn("_pos", F.min("_first").over(group) + F.col("_n") - 1)
         .withColumn("_own", F.expr(f"_pos div {block_rows} <=> _blk"))
@@ -174,22 +184,28 @@ def running(
     scans: dict[str, Scan],
     chunk: Column | None = None,
 ) -> DataFrame:
-    """Add one running column per scan, over the whole series of each key."""
+    """Add one running column per scan, over the whole series of each key.
+
+    The summary of the chunks is staged; it tells the number of rows, and so of tasks, as in ``place``.
+    """
     keys = list(keys)
     order = [order] if isinstance(order, str) else list(order)
     tagged = df.withColumn("_chunk", F.year(order[0]) if chunk is None else chunk)
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     frames = {True: inside.rowsBetween(Window.unboundedPreceding, 0), False: inside.rowsBetween(Window.unboundedPreceding, -1)}
-    local = tagged.withColumns({f"_l_{n}": _over(s.kind, s.value, frames[s.inclusive]) for n, s in scans.items()})
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        tagged.groupBy(*keys, "_chunk")
-        .agg(*[_whole(s.kind, s.value, order).alias(f"_s_{n}") for n, s in scans.items()])
-        .select(*keys, "_chunk", *[_over(s.kind, F.col(f"_s_{n}"), earlier).alias(f"_c_{n}") for n, s in scans.items()])
+    summary = tagged.groupBy(*keys, "_chunk").agg(
+        F.count(F.lit(1)).alias("_rows"), *[_whole(s.kind, s.value, order).alias(f"_s_{n}") for n, s in scans.items()]
     )
+    carried = stage(
+        summary.select(*keys, "_chunk", "_rows", *[_over(s.kind, F.col(f"_s_{n}"), earlier).alias(f"_c_{n}") for n, s in scans.items()]), "carried"
+    )
+    rows, chunks = carried.agg(F.sum("_rows"), F.count(F.lit(1))).first()
+    tagged = tagged.repartition(_tasks(df, rows), *keys, "_chunk")
+    local = tagged.withColumns({f"_l_{n}": _over(s.kind, s.value, frames[s.inclusive]) for n, s in scans.items()})
     # summing sums widens a decimal until Spark drops digits, so the carried part keeps the type of the local one
     types = {f.name: f.dataType for f in local.schema.fields}
-    carried = carried.withColumns({f"_c_{n}": F.col(f"_c_{n}").cast(types[f"_l_{n}"]) for n in scans})
+    carried = _joinable(carried.drop("_rows"), chunks).withColumns({f"_c_{n}": F.col(f"_c_{n}").cast(types[f"_l_{n}"]) for n in scans})
     out = local.join(carried, [*keys, "_chunk"], "left").withColumns(  # outer, so that the rows are never broadcast
         {n: _joined(s.kind, F.col(f"_c_{n}"), F.col(f"_l_{n}")) for n, s in scans.items()}
     )

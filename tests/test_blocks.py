@@ -171,3 +171,12 @@ def test_tasks_of_place_follow_the_rows(spark, monkeypatch):
     monkeypatch.setattr(blocks, "TASK_ROWS", 50)
     placed = blocks.place(df, ["ticker"], "date", 5, 366)
     assert placed.df.rdd.getNumPartitions() >= df.count() // 50
+
+
+def test_tasks_of_running_follow_the_rows(spark, monkeypatch):
+    df, _ = skewed(spark)
+    monkeypatch.setattr(blocks, "TASK_ROWS", 50)
+    monkeypatch.setattr(blocks, "BROADCAST_ROWS", 0)
+    got = blocks.running(df, ["ticker"], "date", {"n": blocks.total(F.lit(1))})
+    assert got.rdd.getNumPartitions() >= df.count() // 50
+    assert got.groupBy("ticker").agg(F.max("n"), F.count("n")).filter("max(n) <> count(n)").isEmpty()
