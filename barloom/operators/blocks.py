@@ -204,9 +204,12 @@ def running(
     rows, chunks = carried.agg(F.sum("_rows"), F.count(F.lit(1))).first()
     tagged = tagged.repartition(_tasks(df, rows), *keys, "_chunk")
     local = tagged.withColumns({f"_l_{n}": _over(s.kind, s.value, frames[s.inclusive]) for n, s in scans.items()})
-    # summing sums widens a decimal until Spark drops digits, so the carried part keeps the type of the local one
+    # summing sums widens a decimal until Spark drops digits, so the carried part keeps the type of the local one; only sums do, and a
+    # staged struct must not be cast, as its fields may be null and those of the local one may not
     types = {f.name: f.dataType for f in local.schema.fields}
-    carried = joinable(carried.drop("_rows"), chunks).withColumns({f"_c_{n}": F.col(f"_c_{n}").cast(types[f"_l_{n}"]) for n in scans})
+    carried = joinable(carried.drop("_rows"), chunks).withColumns(
+        {f"_c_{n}": F.col(f"_c_{n}").cast(types[f"_l_{n}"]) for n, s in scans.items() if s.kind == "total"}
+    )
     out = local.join(carried, [*keys, "_chunk"], "left").withColumns(  # outer, so that the rows are never broadcast
         {n: _joined(s.kind, F.col(f"_c_{n}"), F.col(f"_l_{n}")) for n, s in scans.items()}
     )

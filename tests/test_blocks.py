@@ -88,6 +88,17 @@ def test_running_keeps_decimals(spark):
     assert out.agg(F.max("s")).first()[0] == Decimal("0.00000030")
 
 
+def test_running_carries_structs_whose_fields_are_never_null(spark):
+    df, _ = skewed(spark, 300)
+    df = df.withColumn("_row", F.when(F.col("close") > 100, F.struct("date", F.lit("text").alias("note"), "close")))
+    got = blocks.running(df, ["ticker"], "date", {"last": blocks.latest(F.col("_row")), "was": blocks.latest(F.col("_row")).before()})
+    w = Window.partitionBy("ticker").orderBy("date")
+    upto, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    want = df.withColumns({"last": F.last("_row", True).over(upto), "was": F.last("_row", True).over(before)})
+    assert got.count() == df.count()
+    assert got.select("ticker", "date", "last.*", "was.note").exceptAll(want.select("ticker", "date", "last.*", "was.note")).isEmpty()
+
+
 def test_exponential_means_restart_exactly_enough(spark):
     df, pdf = skewed(spark, 6000)
     got = indicators.add(df, indicators.macd(), indicators.rsi("wilder"), block_rows=1500).toPandas()
