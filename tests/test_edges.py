@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.operators import content, dedupe, financials, indicators, merge, news
+from barloom.operators import asof, content, dedupe, financials, indicators, merge, news
 from barloom.sources import tables
 
 
@@ -74,3 +74,13 @@ def test_a_table_can_be_written_over_itself(spark, tmp_path):
     tables.write_table(spark.read.parquet(path).filter("id < 4"), path)
     assert spark.read.parquet(path).count() == 4
     assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+@pytest.mark.parametrize(("strict", "keys"), [(False, []), (True, []), (False, ["k"]), (True, ["k"])])
+def test_as_of_facts_whose_texts_are_never_null(spark, strict, keys):
+    facts = spark.createDataFrame([("a", date(2023, 12, 31)), ("a", date(2024, 1, 2))], "k string, day date").withColumn("note", F.lit("text"))
+    asked = spark.createDataFrame([("a", date(2023, 12, 30 + i) if i < 2 else date(2024, 1, i - 1), i) for i in range(5)], "k string, day date, no int")
+    facts = facts if keys else facts.drop("k")
+    got = {r.no: (r.fact_day, r.note) for r in asof.backward(asked, facts, "day", keys, strict).collect()}
+    old, new = (date(2023, 12, 31), "text"), (date(2024, 1, 2), "text")
+    assert got == {0: (None, None), 1: (None, None) if strict else old, 2: old, 3: old if strict else new, 4: new}
