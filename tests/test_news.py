@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -133,3 +134,10 @@ def test_scores(spark):
     assert one(spark, s) == 0.94
     undated = text.score(F.lit(None).cast("long"), F.lit("Somewhere"), F.lit("quiet"), 1000)
     assert one(spark, undated) == 0.26
+
+
+def test_summaries_fill_days_that_are_never_null(spark):
+    days = spark.range(4).select(F.date_add(F.lit(date(2023, 12, 30)), F.col("id").cast("int")).alias("day"))
+    told = spark.createDataFrame([(date(2023, 12, 31), 0.5)], "day date, score double").select("day", F.lit("text").alias("summary"), "score")
+    got = sorted(tuple(r) for r in news.fill_daily_summary(told, days).collect())
+    assert got == [(date(2023, 12, 31), "text", 0.5, False), (date(2024, 1, 1), "text", 0.5, True), (date(2024, 1, 2), "text", 0.5, True)]
