@@ -1,8 +1,10 @@
 """The shared folder of a session that names none."""
 
 import os
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from barloom import session
 from barloom.sources import tables
@@ -48,3 +50,18 @@ def test_clean_deletes_what_was_staged(spark, monkeypatch):
     assert frame.count() == 3
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(f"{kept}/part/x")
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    folders = [str(f) for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def files():
+        return {f for folder in folders for _, _, names in os.walk(folder) for f in names if f.startswith("shuffle_")}
+
+    before = files()
+    frame = tables.stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "dealt")
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and frame.count() == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

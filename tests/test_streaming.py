@@ -1,11 +1,13 @@
 """Streams in several micro-batches against the batch result."""
 
+import os
 from datetime import date, datetime, timedelta
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from barloom.operators import indicators, signals
+from barloom.session import shared_folder
 from barloom.sources.prices import scratch
 from barloom.streaming import articles, bars, partials, sources, upsert
 from barloom.streaming import indicators as running
@@ -38,6 +40,23 @@ def test_indicators_of_late_and_corrected_bars_equal_batch(spark):
         np.testing.assert_allclose(got[c], want[c], atol=1e-9, err_msg=c)
 
 
+def test_a_batch_folded_in_passes_leaves_only_the_table(spark, monkeypatch):
+    monkeypatch.setattr(running, "PASS_ROWS", 100)
+    assert running._passes({3: 40, 0: 60, 1: 60, 2: 200, 4: 50}) == [[0], [1], [2], [3, 4]]
+    df = spark.createDataFrame(walk(60, "ABCDE"), "ticker string, date date, close double")
+    folder = shared_folder(spark).removeprefix("file://")
+    os.makedirs(folder, exist_ok=True)
+    out, before = scratch(spark, "passes"), set(os.listdir(folder))
+    for i in (1, 0):
+        running.fold_into(out, 4)(df.filter(F.pmod(F.hash("date"), F.lit(2)) == i), i)
+    assert set(os.listdir(folder)) - before == {os.path.basename(out)}
+    got = running.read_indicators(spark, out).toPandas().sort_values(["ticker", "date"]).reset_index(drop=True)
+    want = running.compute(df).toPandas().sort_values(["ticker", "date"]).reset_index(drop=True)
+    assert len(got) == len(want) == 300
+    for c in ("close", "sma_50", "bb_upper", "rsi", "macd_signal", "state_n"):
+        np.testing.assert_allclose(got[c], want[c], atol=1e-9, err_msg=c)
+
+
 def test_daily_bars_keep_open_days_back(spark):
     ticks = [(i, "A", datetime(2024, 1, 1) + timedelta(hours=6 * i), 10.0 + i, 1) for i in range(20)]
     df = spark.createDataFrame(ticks, "seq long, ticker string, ts timestamp, price double, quantity long")
