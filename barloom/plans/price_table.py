@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from barloom.operators import incremental
 from barloom.operators.merge import upsert
-from barloom.sources.tables import conform
+from barloom.sources.tables import conform, stage
 
 # Columns of the stored price table.
 SCHEMA = T.StructType(
@@ -50,9 +50,10 @@ def build(bars: DataFrame, start: date | None = None, digits: int | None = 4, st
 def update(table: DataFrame, bars: DataFrame, as_of: date, lookback_days: int | None = None, digits: int | None = 4) -> DataFrame:
     """The table with each ticker's newest complete day recomputed.
 
-    A table with state goes on from it and reads the last few bars; the new row equals that of a rebuild. Without state, or with ``lookback_days``, the row comes
-    from the history.
+    A table with state goes on from it and reads the last few bars; the new row equals that of a rebuild. Only the new rows are staged, so several updates may follow
+    each other before the table is written. Without state, or with ``lookback_days``, the row comes from the history.
     """
     if lookback_days is None and set(STATE) <= set(table.columns):
-        return upsert(table, stored(incremental.newest_bar(bars, table, as_of), digits, True), ["ticker", "date"])
+        newest = stage(stored(incremental.newest_bar(bars, table, as_of), digits, True), "newest-rows")
+        return upsert(table, newest, ["ticker", "date"])
     return upsert(table, stored(incremental.latest_bar(bars, as_of, lookback_days), digits), ["ticker", "date"])

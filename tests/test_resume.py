@@ -1,5 +1,6 @@
 """Indicators gone on with from stored state equal those of a run over all bars."""
 
+import os
 from datetime import date, timedelta
 
 import numpy as np
@@ -11,6 +12,8 @@ from barloom.operators import incremental, indicators
 from barloom.operators.resume import advance
 from barloom.operators.signals import batch_rule
 from barloom.plans import price_table
+from barloom.session import shared_folder
+from barloom.sources.tables import stage
 
 SCHEMA = "ticker string, date date, close double"
 
@@ -59,6 +62,19 @@ def test_signals_that_hold(spark):
     same(got.join(last, ["ticker", "date"]), rebuilt.join(last, ["ticker", "date"]), columns)
 
 
+def test_updates_that_follow_each_other_store_new_rows_only(spark):
+    df = history(spark)
+    out = stage(price_table.build(df.filter("date < '2022-03-09'"), digits=None, state=True), "price-table")
+    folder = shared_folder(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    for day in (10, 11):
+        out = price_table.update(out, df, date(2022, 3, day), digits=None)
+    rows = [spark.read.parquet(f"{folder}/{n}").count() for n in set(os.listdir(folder)) - before if n.startswith("newest-rows")]
+    assert sorted(rows) == [3, 4]  # one ticker begins on the last day
+    rebuilt = price_table.build(df.filter("date < '2022-03-11'"), digits=None, state=True)
+    same(out, rebuilt, [c for c in rebuilt.columns if c not in ("ticker", "date", "buy_signal", "sell_signal")])
+
+
 def test_no_history_is_read_where_state_is_stored(spark):
     df = history(spark)
     stored = price_table.build(df, digits=None, state=True)
